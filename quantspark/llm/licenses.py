@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantspark.llm.common import col, lower_ascii
@@ -33,10 +33,14 @@ NOTICES = {
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Neighbouring diagonals are at most so many words apart; a notice counts from this share of its word pairs.
 MERGE, COVER = 3, 0.75
+#: Stands for the end of a text among the hashes of word pairs.
+END = -7_046_029_254_386_353_131
 
 
 @dataclass(frozen=True)
 class Template:
+    """Words of a phrase or notice, at most 63 of them."""
+
     words: tuple[str, ...]
     label: str
     exact: bool
@@ -50,21 +54,15 @@ def templates(phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTIC
     return [Template(tuple(t.split()), label, exact) for d, exact in ((phrases, True), (notices, False)) for t, label in d.items()]
 
 
-def words(text: Column) -> Column:
-    """Words of a text, as an array; null: none."""
-    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BREAKS), lambda w: w != "")
-
-
 def license_scan(df: DataFrame, known: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct (id, text): word count, exact phrase places, labels and the best coverage.
 
-    All rolling word pairs of all texts join the templates' pairs by hash (the templates are a fixed list, so they are
-    broadcast), and the pair itself is compared, so that equal hashes of other words don't count. A hit votes for the
-    diagonal (place in the text minus place in the template). Votes are distinct template places, as bits of a decimal
-    set, counted by diagonal; an exact phrase stands where its diagonal has all its votes, which are then consecutive.
-    For notices, diagonals at most ``MERGE`` words apart merge (insertions and deletions shift the diagonal) and a
-    merged span counts if its distinct votes cover at least ``COVER`` of the template.
-    A last, artificial pair carries each text's word count, so that texts without a hit have a row too.
+    All rolling word pairs of all texts join the templates' pairs by 64-bit hash (the templates are a fixed list, so
+    they are broadcast). A hit votes for the diagonal (place in the text minus place in the template). Votes are
+    distinct template places, as bits of a number, gathered by diagonal; an exact phrase stands where its diagonal has
+    all its votes, which are then consecutive. For notices, diagonals at most ``MERGE`` words apart merge (insertions
+    and deletions shift the diagonal), and a merged span counts if its distinct votes cover at least ``COVER`` of the
+    template. A last, artificial pair carries each text's word count, so that texts without a hit have a row too.
 
     Null text or no words: 0 words, no places, empty labels, score 0. Null id: a document like any other. Rows repeated
     with the same id and text are one row of the result; one id with several texts has a row for each. Empty table: no
@@ -72,18 +70,21 @@ def license_scan(df: DataFrame, known: list[Template] | None = None, id_col: str
     """
     known = templates() if known is None else known
     spark = df.sparkSession
-    grams = [(t, i, " ".join(x.words[i : i + 2])) for t, x in enumerate(known) for i in range(x.pairs)] + [(-1, 0, "\n")]
-    table = spark.createDataFrame(grams, "template int, place int, gram string").withColumn("hash", F.xxhash64("gram"))
-
-    docs = df.select(col(id_col).alias("id"), F.xxhash64(F.coalesce(col(text_col), F.lit(""))).alias("text_hash"), words(col(text_col)).alias("w"))
-    pairs = F.transform("w", lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))  # the last is null
-    last = F.array(F.lit("\n"))
-    rolled = docs.select("id", "text_hash", F.posexplode(F.concat(F.slice(pairs, F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), last)).alias("pos", "gram"), F.size("w").alias("n"))
-    hits = rolled.withColumn("hash", F.xxhash64("gram")).join(F.broadcast(table.withColumnRenamed("gram", "known")), "hash").filter(F.col("gram") == F.col("known"))
+    grams = [(t, i, 1 << i, *x.words[i : i + 2]) for t, x in enumerate(known) for i in range(x.pairs)]
+    table = spark.createDataFrame(grams, "template int, place int, bit long, a string, b string")
+    table = table.select("template", "place", "bit", F.xxhash64("a", "b").alias("hash")).union(spark.sql(f"SELECT -1, 0, 1L, {END}L"))
+
+    text = F.coalesce(col(text_col), F.lit(""))
+    docs = df.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.split(lower_ascii(text), BREAKS).alias("w"))
+    # a break at either end leaves an empty word there
+    first, last = (F.element_at("w", 1) == "").cast("int"), ((F.element_at("w", -1) == "") & (F.size("w") > 1)).cast("int")
+    pairs = F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1)))
+    rolled = docs.select("id", "text_hash", first.alias("skip"), (F.size("w") - first - last).alias("n"), F.posexplode(F.array_append(pairs, F.lit(END).cast("long"))).alias("pos", "hash"))
+    hits = rolled.join(F.broadcast(table), "hash").withColumn("pos", F.col("pos") - F.col("skip"))
 
     spans = (
         hits.groupBy("id", "text_hash", "template", (F.col("pos") - F.col("place")).alias("diagonal"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.when(F.col("template") < 0, 0).otherwise(F.col("place")))).alias("votes"), F.max("n").alias("n"))
+        .agg(F.bit_or("bit").alias("votes"), F.max("n").alias("n"))
         .withColumn("diagonal", F.when(F.col("template") < 0, 0).otherwise(F.col("diagonal")))
     )
     facts = spark.createDataFrame([(t, x.pairs, x.label, x.exact) for t, x in enumerate(known)] + [(-1, 0, "", False)], "template int, pairs int, label string, exact boolean")
