@@ -6,8 +6,10 @@ from quantspark.llm.chat import op8_chat_round_trip
 from quantspark.llm.language_model import op6_kneser_ney
 from quantspark.llm.licenses import op1_license_scan
 from quantspark.llm.packing import op2_pattern_packing
+from quantspark.llm.quality import op9_isolation_rules
 from quantspark.llm.sharding import op7_feistel_shards
+from quantspark.llm.toxicity import op3_weak_supervision
 from quantspark.llm.topk import OP10_SQL, op10_threshold_top_k
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_pattern_packing, op6_kneser_ney, op7_feistel_shards, op8_chat_round_trip, op10_threshold_top_k)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_pattern_packing, op3_weak_supervision, op6_kneser_ney, op7_feistel_shards, op8_chat_round_trip, op9_isolation_rules, op10_threshold_top_k)}
 ORACLES = {"op10_threshold_top_k": OP10_SQL}
