@@ -36,36 +36,38 @@ class Lists:
         self.ids, self.x = ids[by_id], x[by_id]
         self.order = np.argsort(self.x, axis=0, kind="stable").T  # dimension x rank, ascending
 
-    def top(self, query: np.ndarray, own: int, k: int, depth: int = 48) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best of this block, ties to smaller ids.
 
-        All lists are read ``depth`` entries at a time from their best end; each id that turns up is scored once by
-        random access. No unseen row can score above the sum of query times last-read components; reading stops when
-        that bound is below the kth score (equal scores may still win by their id).
+        All lists are read in steps from their best end, the first a thirty-second deep; each row that turns up is
+        scored once by random access. No unseen row can score above the sum of query times last-read components;
+        reading stops when that bound is below the kth score (equal scores may still win by their id), or when every
+        row has turned up.
         """
-        n, dims = self.x.shape
+        n = len(self.x)
         live = np.flatnonzero(query)
-        seen, found, score = np.zeros(n, bool), np.empty(0, np.int64), np.empty(0)
-        at = 0
-        while at < n:
-            upto = min(n, at + depth)
-            if len(live) == 0:
-                upto, fresh = n, np.arange(n)
-            else:
-                up = query[live] > 0
-                read = np.where(up[:, None], self.order[live][:, ::-1][:, at:upto], self.order[live][:, at:upto])
-                fresh = np.unique(read[~seen[read]])
-            seen[fresh] = True
-            fresh = fresh[self.ids[fresh] != own]
-            found, score = np.concatenate([found, fresh]), np.concatenate([score, self.x[fresh] @ query])
+        up, down = live[query[live] > 0], live[query[live] < 0]
+        seen = self.ids == own
+        found, score, at, upto = np.empty(0, np.int64), np.empty(0), 0, max(8, n // 32)
+        while not seen.all():
+            upto = min(n, upto) if len(live) else n
+            fresh = ~seen
+            if upto < n:
+                turned = np.zeros(n, bool)
+                turned[self.order[up, n - upto : n - at]] = True
+                turned[self.order[down, at:upto]] = True
+                fresh &= turned
+            rows = np.flatnonzero(fresh)
+            seen |= fresh
+            found, score = np.concatenate([found, rows]), np.concatenate([score, self.x[rows] @ query])
             if len(found) > k:
-                best = np.lexsort((self.ids[found], -score))[:k]
+                best = score >= np.partition(score, -k)[-k]
                 found, score = found[best], score[best]
-            if len(found) == k and len(live) and upto < n:
-                last = self.x[read[:, -1], live]
-                if float(last @ query[live]) < score[-1]:
+            if upto < n and len(found) >= k:
+                bound = self.x[self.order[up, n - upto], up] @ query[up] + self.x[self.order[down, upto - 1], down] @ query[down]
+                if bound < score.min():
                     break
-            at, depth = upto, depth * 2
+            at, upto = upto, 2 * upto
         best = np.lexsort((self.ids[found], -score))[:k]
         return self.ids[found[best]], score[best]
 
