@@ -129,7 +129,7 @@ def _loess(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float) -> np.ndar
     return out
 
 
-def loess(cells: DataFrame, samples: DataFrame, scale: str = "global", span: float = 0.75, knots: int = 2000, value: str = "v") -> DataFrame:
+def loess(cells: DataFrame, samples: DataFrame, scale: str = "global", span: float = 0.9, knots: int = 2000, value: str = "v") -> DataFrame:
     """Subtract a LOESS curve A ~ M for each sample.
 
     The curve is fitted on at most ``knots`` points of a sample (quantiles of M with the mean A between them), so a task
@@ -153,7 +153,7 @@ def loess(cells: DataFrame, samples: DataFrame, scale: str = "global", span: flo
     return at.join(curves, "Sample", "left").withColumn(value, F.col("_v") - F.coalesce(predicted, F.lit(0.0))).select(*cells.columns)
 
 
-def normalize(cells: DataFrame, methods: str | list[str] | None, samples: DataFrame, features: DataFrame | None = None, tags: list[str] | None = None, span: float = 0.75, value: str = "v") -> DataFrame:
+def normalize(cells: DataFrame, methods: str | list[str] | None, samples: DataFrame, features: DataFrame | None = None, tags: list[str] | None = None, span: float = 0.9, value: str = "v") -> DataFrame:
     """Apply the methods in order; after the first logarithm the values are kept as ``lognorm`` too."""
     for method in [methods] if isinstance(methods, str) else methods or ["none"]:
         scale = "local" if method.startswith("local") else "global"

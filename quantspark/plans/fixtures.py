@@ -53,8 +53,8 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INDEX, Sample, raw, v: log2 over the complete grid."""
-    return normalize.log_transform(grid(spark, sf_dir).withColumn("v", F.col("raw")))
+    """INDEX, Sample, raw, v: log2 over the complete grid. Several steps read it, so it is persisted; a lost block is computed again."""
+    return normalize.log_transform(grid(spark, sf_dir).withColumn("v", F.col("raw"))).persist()
 
 
 def contrasts(spark: SparkSession, sf_dir: str) -> DataFrame:

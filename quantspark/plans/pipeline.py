@@ -106,7 +106,7 @@ def preprocess(df: DataFrame, config: dict[str, Any]) -> Results:
     features = rollup.features(kept, ["FASTA_HEADERS", "GENE_NAMES", "PROTEIN_DESCRIPTIONS", "PROTEIN_WEIGHT", "PARENT_PROTEIN"], ["FILENAME", "SIGNAL"])
     norm = pre.get("normalization") or {}
     tags = norm.get("reference_tag")
-    work = normalize.normalize(cells.withColumn("v", F.col("raw")), norm.get("method"), samples, features, [tags] if isinstance(tags, str) else tags, norm.get("loess_span", 0.75))
+    work = normalize.normalize(cells.withColumn("v", F.col("raw")), norm.get("method"), samples, features, [tags] if isinstance(tags, str) else tags, norm.get("loess_span", 0.9))
     work = work.withColumn("normalized", F.col("v")).persist()
     imp = dict(pre.get("imputation") or {})
     chosen = imp.pop("method", None)

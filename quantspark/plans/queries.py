@@ -29,9 +29,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Sums of doubles depend on their order; both engines round."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6, nudge: float = 0.0) -> DataFrame:
+    """Sums of doubles depend on their order; both engines round. ``nudge`` moves means of decimal fractions off exact halves."""
+    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
 
 
 # Flagship ---------------------------------------------------------------------------------------
@@ -39,7 +39,7 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INDEX, Sample, raw, v, imputed: filter, sum, log2, median equalization, low-quantile fill."""
-    return impute.min_det(normalize.median_equalization(fx.logged(spark, sf_dir)))
+    return impute.min_det(normalize.median_equalization(fx.logged(spark, sf_dir)).persist()).persist()
 
 
 @query("flagship_differential", 'SELECT "INDEX", contrast, round(log2fc, 6) AS log2fc, round(se, 6) AS se, round(t, 6) AS t, round(p, 6) AS p, round(least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)), 6) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv)')
@@ -209,8 +209,8 @@ def a12(spark, sf_dir):
 
 # Roll-ups ---------------------------------------------------------------------------------------
 
-for _m, _sql in {"sum": "sum(SIGNAL)", "mean": "avg(SIGNAL)", "min": "min(SIGNAL)", "max": "max(SIGNAL)", "median": "median(SIGNAL)", "count": "count(*)::DOUBLE"}.items():
-    query(f"a1_rollup_{_m}", f'SELECT "INDEX", FILENAME AS Sample, round({_sql}, 6) AS raw FROM kept GROUP BY ALL')(lambda spark, sf_dir, m=_m: rounded(rollup.roll_up(fx.kept(spark, sf_dir), m), "raw"))
+for _m, _sql in {"sum": "sum(SIGNAL)", "mean": "avg(SIGNAL) + 1e-8", "min": "min(SIGNAL)", "max": "max(SIGNAL)", "median": "median(SIGNAL)", "count": "count(*)::DOUBLE"}.items():
+    query(f"a1_rollup_{_m}", f'SELECT "INDEX", FILENAME AS Sample, round({_sql}, 6) AS raw FROM kept GROUP BY ALL')(lambda spark, sf_dir, m=_m: rounded(rollup.roll_up(fx.kept(spark, sf_dir), m), "raw", nudge=1e-8 if m == "mean" else 0.0))
 
 _PEP = "regexp_replace(regexp_replace(PEPTIDE_LSEQ, '^_+|_+$', '', 'g'), 'M\\[[^\\]]*Oxidation[^\\]]*\\]', 'M', 'g')"
 
@@ -240,9 +240,9 @@ def a4a(spark, sf_dir):
     return rounded(lfq.ions(fx.kept(spark, sf_dir)).withColumnRenamed(lfq.ION, "ion"), "v").select("INDEX", "ion", "Sample", "rank", "v")
 
 
-@query("a5_evidence", 'SELECT "INDEX", FILENAME AS Sample, round(avg(QVALUE), 6) AS qvalue, round(avg(PEP), 6) AS pep, avg(PRECURSORS_EXP) AS precursors, max(SPECTRAL_COUNTS) AS spectral_counts, round(avg(ibaq), 6) AS ibaq FROM kept GROUP BY ALL')
+@query("a5_evidence", 'SELECT "INDEX", FILENAME AS Sample, round(avg(QVALUE) + 1e-8, 6) AS qvalue, round(avg(PEP) + 1e-8, 6) AS pep, avg(PRECURSORS_EXP) AS precursors, max(SPECTRAL_COUNTS) AS spectral_counts, round(avg(ibaq) + 1e-8, 6) AS ibaq FROM kept GROUP BY ALL')
 def a5(spark, sf_dir):
-    return rounded(rollup.evidence_cells(fx.kept(spark, sf_dir)), "qvalue", "pep", "ibaq")
+    return rounded(rollup.evidence_cells(fx.kept(spark, sf_dir)), "qvalue", "pep", "ibaq", nudge=1e-8)
 
 
 @query("a7_site_counts", "SELECT \"INDEX\", FILENAME AS Sample, count(DISTINCT PEPTIDE_LSEQ || '/' || CHARGE) AS spectral_counts FROM kept GROUP BY ALL")
@@ -251,22 +251,22 @@ def a7(spark, sf_dir):
 
 
 @query("a8_features", """SELECT "INDEX", arg_min(FASTA_HEADERS, (ORDERKEY, CHARGE)) AS FASTA_HEADERS, arg_min(PEPTIDE_LSEQ, (ORDERKEY, CHARGE)) AS PEPTIDE_LSEQ, CASE WHEN min(GENE_NAMES) IN ('', 'NA') THEN "INDEX" ELSE min(GENE_NAMES) END AS GENE_NAMES,
-count(DISTINCT (PEPTIDE_LSEQ, CHARGE)) AS PRECURSORS_USED, round(avg(ibaq), 6) AS IBAQ_MEAN FROM kept GROUP BY "INDEX" """)
+count(DISTINCT (PEPTIDE_LSEQ, CHARGE)) AS PRECURSORS_USED, round(avg(ibaq) + 1e-8, 6) AS IBAQ_MEAN FROM kept GROUP BY "INDEX" """)
 def a8(spark, sf_dir):
     out = rollup.features(fx.kept(spark, sf_dir), ["FASTA_HEADERS", "PEPTIDE_LSEQ", "GENE_NAMES"], ["ORDERKEY", "CHARGE"])
-    return rounded(out, "IBAQ_MEAN").select("INDEX", "FASTA_HEADERS", "PEPTIDE_LSEQ", "GENE_NAMES", "PRECURSORS_USED", "IBAQ_MEAN")
+    return rounded(out, "IBAQ_MEAN", nudge=1e-8).select("INDEX", "FASTA_HEADERS", "PEPTIDE_LSEQ", "GENE_NAMES", "PRECURSORS_USED", "IBAQ_MEAN")
 
 
-@query("a16_covariate_cells", "SELECT PARENT_PROTEIN, FILENAME AS Sample, round(avg(SIGNAL), 6) AS covariate FROM kept WHERE IS_COVARIATE GROUP BY ALL")
+@query("a16_covariate_cells", "SELECT PARENT_PROTEIN, FILENAME AS Sample, round(avg(SIGNAL) + 1e-8, 6) AS covariate FROM kept WHERE IS_COVARIATE GROUP BY ALL")
 def a16(spark, sf_dir):
-    return rounded(rollup.covariate_cells(fx.kept(spark, sf_dir).filter("IS_COVARIATE")), "covariate")
+    return rounded(rollup.covariate_cells(fx.kept(spark, sf_dir).filter("IS_COVARIATE")), "covariate", nudge=1e-8)
 
 
-@query("j8_covariate_fanout", ", cov AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, avg(SIGNAL) AS covariate FROM kept WHERE IS_COVARIATE GROUP BY ALL), par AS (SELECT DISTINCT \"INDEX\", PARENT_PROTEIN FROM kept) SELECT c.\"INDEX\", c.Sample, round(c.raw, 6) AS raw, round(covariate, 6) AS covariate FROM cells c JOIN par USING (\"INDEX\") LEFT JOIN cov ON cov.PARENT_PROTEIN = par.PARENT_PROTEIN AND cov.Sample = c.Sample")
+@query("j8_covariate_fanout", ", cov AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, avg(SIGNAL) AS covariate FROM kept WHERE IS_COVARIATE GROUP BY ALL), par AS (SELECT DISTINCT \"INDEX\", PARENT_PROTEIN FROM kept) SELECT c.\"INDEX\", c.Sample, round(c.raw + 1e-8, 6) AS raw, round(covariate + 1e-8, 6) AS covariate FROM cells c JOIN par USING (\"INDEX\") LEFT JOIN cov ON cov.PARENT_PROTEIN = par.PARENT_PROTEIN AND cov.Sample = c.Sample")
 def j8(spark, sf_dir):
     kept = fx.kept(spark, sf_dir)
     out = rollup.with_covariate(fx.cells(spark, sf_dir), kept.select("INDEX", "PARENT_PROTEIN").distinct(), rollup.covariate_cells(kept.filter("IS_COVARIATE")))
-    return rounded(out, "raw", "covariate").select("INDEX", "Sample", "raw", "covariate")
+    return rounded(out, "raw", "covariate", nudge=1e-8).select("INDEX", "Sample", "raw", "covariate")
 
 
 @query("a17_peptides", f"SELECT \"INDEX\" || '|' || pep AS PEPTIDE_ID, Sample, round(raw, 6) AS raw, round(raw / avg(raw) OVER (PARTITION BY \"INDEX\", pep), 6) AS centred FROM (SELECT \"INDEX\", {_PEP} AS pep, FILENAME AS Sample, sum(SIGNAL) AS raw FROM kept GROUP BY ALL)")
@@ -402,7 +402,7 @@ def n7(spark, sf_dir):
     return rounded(normalize.filled_for_fit(fx.logged(spark, sf_dir)), "fit").select("INDEX", "Sample", "fit")
 
 
-@query("n8_least_squares", """, ff AS (SELECT "INDEX", Sample, v, coalesce(v, median(v) OVER (PARTITION BY "INDEX")) AS f FROM grid), am AS (SELECT *, (f + r) / 2 AS m, f - r AS a FROM (SELECT *, avg(f) OVER (PARTITION BY "INDEX") AS r FROM ff)),
+@query("n8_least_squares", """, ff AS (SELECT "INDEX", Sample, v, coalesce(v, median(v) OVER (PARTITION BY "INDEX")) AS f FROM grid), am AS (SELECT *, (f + r) / 2 AS m, f - r AS a FROM (SELECT *, avg(v) OVER (PARTITION BY "INDEX") AS r FROM ff)),
 ln AS (SELECT Sample, regr_slope(a, m) AS b, avg(a) AS ma, avg(m) AS mm FROM am GROUP BY ALL) SELECT "INDEX", Sample, round(v - (b * (m - mm) + ma), 6) AS v FROM am JOIN ln USING (Sample)""")
 def n8(spark, sf_dir):
     return rounded(normalize.linear_by_least_squares(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir)), "v").select("INDEX", "Sample", "v")
@@ -458,12 +458,12 @@ def i3b(spark, sf_dir):
 
 
 @query("i12_covariate_imputed", """, cv AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, avg(SIGNAL) AS c FROM kept WHERE IS_COVARIATE GROUP BY ALL), cg AS (SELECT p.PARENT_PROTEIN, s.Sample, cv.c FROM (SELECT DISTINCT PARENT_PROTEIN FROM cv) p CROSS JOIN smp s LEFT JOIN cv ON cv.PARENT_PROTEIN = p.PARENT_PROTEIN AND cv.Sample = s.Sample),
-ci AS (SELECT PARENT_PROTEIN, Sample, coalesce(c, avg(c) OVER (PARTITION BY PARENT_PROTEIN), 0) AS c FROM cg) SELECT p."INDEX", ci.Sample, round(ci.c - median(ci.c) OVER (PARTITION BY p."INDEX"), 6) AS c FROM (SELECT DISTINCT "INDEX", PARENT_PROTEIN FROM kept) p JOIN ci USING (PARENT_PROTEIN)""")
+ci AS (SELECT PARENT_PROTEIN, Sample, coalesce(c, avg(c) OVER (PARTITION BY PARENT_PROTEIN), 0) AS c FROM cg) SELECT p."INDEX", ci.Sample, round(ci.c - median(ci.c) OVER (PARTITION BY p."INDEX") + 1e-8, 6) AS c FROM (SELECT DISTINCT "INDEX", PARENT_PROTEIN FROM kept) p JOIN ci USING (PARENT_PROTEIN)""")
 def i12(spark, sf_dir):
     kept = fx.kept(spark, sf_dir)
     cov = rollup.covariate_cells(kept.filter("IS_COVARIATE"))
     full = reshape.complete_grid(cov.withColumnRenamed("PARENT_PROTEIN", "INDEX"), fx.samples(spark, sf_dir)).withColumnRenamed("INDEX", "PARENT_PROTEIN")
-    return rounded(impute.covariate_imputed(full, impute.row_mean, kept.select("INDEX", "PARENT_PROTEIN").distinct()), "c").select("INDEX", "Sample", "c")
+    return rounded(impute.covariate_imputed(full, impute.row_mean, kept.select("INDEX", "PARENT_PROTEIN").distinct()), "c", nudge=1e-8).select("INDEX", "Sample", "c")
 
 
 # Statistics -------------------------------------------------------------------------------------
@@ -602,7 +602,7 @@ def c3(spark, sf_dir):
     return rounded(embed.neighbours(scores, 64), "dist", digits=4).select("src", "dst", "dist")
 
 
-@query("c4_correlation_distance", 'SELECT p.Sample AS a, q.Sample AS b, round(CASE WHEN p.Sample = q.Sample THEN 0 ELSE least(2, greatest(0, 1 - corr(p.v, q.v))) END, 6) AS dist FROM emb p JOIN emb q ON p."INDEX" = q."INDEX" GROUP BY ALL')
+@query("c4_correlation_distance", 'SELECT p.Sample AS a, q.Sample AS b, round(CASE WHEN p.Sample = q.Sample THEN 0 ELSE least(2, greatest(0, 1 - corr(p.v, q.v))) END, 6) AS dist FROM emb p JOIN emb q ON p."INDEX" = q."INDEX" GROUP BY p.Sample, q.Sample')
 def c4(spark, sf_dir):
     return rounded(embed.correlation_distance(fx.embedded(spark, sf_dir)), "dist")
 
@@ -637,14 +637,14 @@ def c8p(spark, sf_dir):
 
 def _sequences(spark, sf_dir) -> DataFrame:
     """Modified sequences made of document letters."""
-    s = F.regexp_replace(F.upper(F.substring("text", 1, 60)), "[^A-Z]", "")
+    s = F.upper(F.regexp_replace(F.substring("text", 1, 60), "[^A-Za-z]", ""))
     k = F.col("doc_id") % 5
     made = F.when(k == 0, F.concat(F.lit("_"), s, F.lit("_"))).when(k == 1, F.concat(F.lit("_n[42.0106]"), s, F.lit("c[-0.9840]_"))).when(k == 2, F.concat(s, F.lit("M[Oxidation (M)]K"))).when(k == 3, F.concat(s, F.lit("C[57.0215]R"))).otherwise(F.concat(s, F.lit("M[15.9949]S[79.9663]")))
     return fx.read(spark, sf_dir, "documents").select("doc_id", made.alias("seq"))
 
 
 _SEQ = """, sq AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '_' || s || '_' WHEN 1 THEN '_n[42.0106]' || s || 'c[-0.9840]_' WHEN 2 THEN s || 'M[Oxidation (M)]K' WHEN 3 THEN s || 'C[57.0215]R' ELSE s || 'M[15.9949]S[79.9663]' END AS seq
-FROM (SELECT doc_id, regexp_replace(upper(substr(text, 1, 60)), '[^A-Z]', '', 'g') AS s FROM documents))"""
+FROM (SELECT doc_id, upper(regexp_replace(substr(text, 1, 60), '[^A-Za-z]', '', 'g')) AS s FROM documents))"""
 
 
 @query("e3_strip_modifications", _SEQ + r" SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(seq, '^_+|_+$', '', 'g'), '^n\[[^\]]*\]([A-Z])', '\1'), 'c\[[^\]]*\]$', ''), '\[[^\]]+\]|[()]', '', 'g') AS stripped FROM sq")
