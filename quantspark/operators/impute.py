@@ -107,14 +107,14 @@ def nearest(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def knn_samples(cells: DataFrame, k: int = 6) -> DataFrame:
-    """Mean over the k nearest samples, which stand in with the feature's minimum where they have no value."""
+    """Mean over the k nearest samples, which stand in with the feature's minimum where they have no value; 0 for a feature without any."""
     near = nearest(sample_distances(cells), k).select(F.col("src").alias("Sample"), "dst")
     low = cells.groupBy("INDEX").agg(F.min("v").alias("_low"))
     missing = cells.filter("v IS NULL").select("INDEX", "Sample")
     donors = missing.join(F.broadcast(near), "Sample").join(cells.select("INDEX", F.col("Sample").alias("dst"), F.col("v").alias("_d")), ["INDEX", "dst"], "left")
     fill = donors.join(low, "INDEX").groupBy("INDEX", "Sample").agg(F.avg(F.coalesce("_d", "_low")).alias("_f"))
     at = cells.join(fill, ["INDEX", "Sample"], "left").join(low, "INDEX", "left")
-    return _done(at, F.coalesce("_f", "_low"), cells.columns)
+    return _done(at, F.coalesce("_f", "_low", F.lit(0.0)), cells.columns)
 
 
 def _vectors(cells: DataFrame) -> tuple[DataFrame, list[str]]:
