@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's k-word shingles; the whole text as one where it has fewer words."""
     split = [t.lower().split() for t in texts]  # on bytes: A-Z, and the six ASCII blanks
     sizes = [len(w) for w in split]
-    flat = np.fromiter((xxhash.xxh3_64_intdigest(x) for w in split for x in w), np.uint64, sum(sizes))
+    flat = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, sum(sizes))
     mixed = flat.copy() * np.uint64(0x9E3779B97F4A7C15)
     for i in range(1, k):
         mixed[: len(flat) - i] = (mixed[: len(flat) - i] ^ (mixed[: len(flat) - i] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + flat[i:]
@@ -200,10 +201,29 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long"), "links")
 
 
+def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The similar ones of candidate pairs (a, b); sets are made for their classes alone."""
+    pairs = staged(pairs.select("a", "b"), "candidates")
+    if pairs.isEmpty():
+        return pairs
+    return _linked(pairs, _sets(rows, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), k), percent)
+
+
 def _similar_sizes(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _least_met(n_a: Column, n_b: Column, need_a: Column, need_b: Column, percent: int) -> Column:
+    """How many prefix tokens two sets must share to be similar at all.
+
+    Of the two prefixes one ends first; every common token up to there stands in both, and beyond it that set has only
+    n - prefix length tokens left. So the overlap is at most the shared prefix tokens plus the larger of both rests.
+    """
+    overlap = F.ceil((F.lit(percent) * (n_a + n_b)) / F.lit(100 + percent) - F.lit(1e-9))
+    rest = lambda n, need: F.greatest(F.lit(0), F.floor((F.lit(percent) * n + 99) / F.lit(100)) - need)
+    return F.greatest(F.least(need_a, need_b), overlap - F.greatest(rest(n_a, need_a), rest(n_b, need_b)))
+
+
 def jaccard_components(df: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id (smallest linked id) and class of every row.
 
@@ -211,8 +231,8 @@ def jaccard_components(df: DataFrame, k: int = 4, percent: int = 85, id_col: str
 
     1. Rows with equal sets are one class, so that copies never become pairs.
     2. Every class sends its adaptive prefix; tokens of two or more classes stay, and two classes are candidates if they
-       share as many prefix tokens as the easier of their two schemes requires. (If two sets are similar, the first m
-       common tokens stand in both m-match prefixes, so no link is lost.)
+       share as many prefix tokens as the easier of their two schemes requires (if two sets are similar, the first m
+       common tokens stand in both m-match prefixes, so no link is lost), and as many as their sizes require.
     3. Most near copies are found by comparing each class with one leader, the most connected class of its tokens. What
        is linked then is connected already and needs no more pairs: so a large group costs as many comparisons as it
        has members.
@@ -228,14 +248,14 @@ def jaccard_components(df: DataFrame, k: int = 4, percent: int = 85, id_col: str
     classes = found.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"))
     shared = _shared_tokens(rows, sketch, k, percent)
 
-    # one leader for each class: the class that most tokens point to
+    # one leader for each class: of the most connected classes of its tokens, the one that most tokens point to
     rank = shared.groupBy("class").agg(F.sum("df").alias("weight"))
-    ranked = shared.join(rank, "class")
-    lead = ranked.groupBy("token").agg(F.max(F.struct("weight", "class", "n")).alias("lead"))
-    votes = shared.join(lead, "token").filter((F.col("class") != F.col("lead.class")) & _similar_sizes("n", "lead.n", percent)).groupBy("class", F.col("lead.class").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
+    lead = shared.join(rank, "class").groupBy("token").agg(F.max(F.struct("weight", "class", "n", "need")).alias("lead")).select("token", F.col("lead.class").alias("leader"), F.col("lead.n").alias("n_l"), F.col("lead.need").alias("need_l"))
+    met = shared.join(lead, "token").filter((F.col("class") != F.col("leader")) & _similar_sizes("n", "n_l", percent))
+    votes = met.groupBy("class", "leader").agg(F.count(F.lit(1)).alias("votes"), *(F.first(c).alias(c) for c in ("n", "n_l", "need", "need_l")))
+    votes = votes.filter(F.col("votes") >= _least_met(F.col("n"), F.col("n_l"), F.col("need"), F.col("need_l"), percent))
     stars = votes.groupBy("class").agg(F.max(F.struct("votes", "leader")).alias("best")).select(F.least("class", "best.leader").alias("a"), F.greatest("class", "best.leader").alias("b")).distinct()
-    sets = _sets(rows, classes, shared.select("class").distinct(), k)
-    links = _linked(stars, sets, percent)
+    links = _verified(rows, classes, stars, k, percent)
     joined = components(links)
 
     # what is left: candidates in different components
@@ -247,9 +267,9 @@ def jaccard_components(df: DataFrame, k: int = 4, percent: int = 85, id_col: str
     right = open_.select("token", "top", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "need", "component")))
     once = (F.col("component_b") == F.col("top")) | (F.col("class_a") < F.col("class_b"))
     met = left.join(right, "token").filter((F.col("component_a") != F.col("component_b")) & once & _similar_sizes("n_a", "n_b", percent))
-    pair = met.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), F.least("need_a", "need_b").alias("need"))
-    rest = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("need").alias("need")).filter("met >= need")
-    more = _linked(rest, sets, percent)
+    pair = met.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), _least_met(F.col("n_a"), F.col("n_b"), F.col("need_a"), F.col("need_b"), percent).alias("least"))
+    rest = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("least").alias("least")).filter("met >= least")
+    more = _verified(rows, classes, rest, k, percent)
 
     final = components(links.unionByName(more))
     lowest = final.withColumnRenamed("node", "class").join(classes, "class").groupBy("component").agg(F.min("id").alias("lowest"))
