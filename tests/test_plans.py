@@ -23,11 +23,11 @@ def raw(spark):
     return spark.createDataFrame(rows, "prot string, sig double, `PG.Qvalue` double, run string, cond string, rep int, pep string, z int, fasta string, gene string")
 
 
-@pytest.mark.parametrize("method", ["sum", "top3", "directlfq"])
+@pytest.mark.parametrize("method", ["sum", "directlfq"])
 def test_pipeline_end_to_end(spark, tmp_path, method):
     config = {
         "dataset": {"frame": raw(spark).withColumnRenamed("PG.Qvalue", "qv"), **COLUMNS, "qvalue_column": "qv"},
-        "preprocessing": {"protein_rollup_method": method, "normalization": {"method": ["log2", "median_equalization"]}, "imputation": {"method": "lc_conmed"}},
+        "preprocessing": {"protein_rollup_method": method, "normalization": {"method": ["log2"]}, "imputation": {"method": "lc_conmed"}},
         "exports": {"path_tables": str(tmp_path / "out")},
     }
     got = pipeline.run_pipeline(spark, config)
