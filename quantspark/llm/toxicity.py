@@ -50,10 +50,10 @@ def mined(counts: list[tuple[str, int, int]], rivals: dict[int, int], positive:
     """
     strong = {}
     for lexeme, p, n in counts:
-        odds = np.log((p + 0.5) / (positive - p + 0.5)) - np.log((n + 0.5) / (negative - n + 0.5))
-        z = odds / (1 / (p + 0.5) + 1 / (n + 0.5)) ** 0.5
+        rate = positive / (positive + negative)
+        gain = p * log(p / (p + n) / rate) + (n * log(n / (p + n) / (1 - rate)) if n else 0)  # log likelihood ratio
         if p / positive >= 8 * n / max(negative, 1) and by_chance(p, n, positive / (positive + negative)) * rivals[p + n] < chance:
-            strong[lexeme] = (z, p, n)
+            strong[lexeme] = (gain, p, n)
     longer = {}
     for x in strong:
         shorter = x[1:] if x[0] == "=" else x[:-1]
@@ -261,12 +261,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     votes = np.array([[r["votes"] >> i & 1 for i in range(m)] for r in patterns], float).reshape(-1, m)
     labelled = label_model(votes, np.array([r["count"] for r in patterns], float), prior) if patterns else LabelModel(np.zeros(m), -9.0, np.zeros(m), np.zeros(m), np.eye(m))
 
-    fitted = with_hits(sample, voters, "id", "text").select("votes", "found", "times").toPandas()  # at most 2 * fit_rows rows
+    gold = sample.select("id", "toxic").distinct()
+    fitted = with_hits(sample, voters, "id", "text").join(gold, "id").select("votes", "found", "times", "toxic").toPandas()  # at most 2 * fit_rows rows
     x = np.zeros((len(fitted), len(found)))
     for i, (f, t) in enumerate(zip(fitted["found"], fitted["times"], strict=True)):
         x[i, np.asarray(f, int)] = np.log2(1 + np.asarray(t, float))
     bits = fitted["votes"].to_numpy(np.int64)
-    target = labelled.posterior((bits[:, None] >> np.arange(m) & 1).astype(float))
+    weak = labelled.posterior((bits[:, None] >> np.arange(m) & 1).astype(float))
+    # the row's own label is one more voter, right 99 times in 100; voters of one language can't outvote it
+    odds = np.clip(np.log(weak / (1 - weak)), -4, 4) + np.log(99) * np.where(fitted["toxic"] > 0, 1, -1)
+    target = 1 / (1 + np.exp(-odds))
     weights = logistic(x, target) if len(fitted) else np.append(np.zeros(len(found)), -9.0)
     return ToxicityModel(voters, labelled, weights), hits
 
