@@ -140,3 +140,44 @@ def test_kneser_ney_is_a_distribution_and_matches_brute_force(spark):
     empty = language_model.train(frames.nothing(spark))
     assert language_model.score(docs, empty).filter("n_known > 0 OR train_tokens > 0 OR isnan(score)").count() == 0
     assert language_model.score(frames.nothing(spark), model).count() == 0
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_orders_matches_brute_force(spark, monkeypatch, order):
+    monkeypatch.setattr(language_model, "SLICE", 5_000)
+    docs = frames.documents(spark)
+    model = language_model.train(docs.filter(~language_model.held_out(docs["doc_id"], 7, 2)), buckets=3, order=order)
+    got = language_model.score(docs, model).collect()
+    tokens = lambda t: (t or "").encode().lower().split() + [b" end"]
+    held = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2
+    grams = lambda w, k: list(zip(*([*[b" begin"] * (k - 1), *w][j:] for j in range(k)), strict=False))
+    train = [tokens(t) for i, t, *_ in frames.rows() if not held(i)]
+    words = {w for d in train for w in d}
+    seen = {order: Counter(g for d in train for g in grams(d, order))}
+    for k in range(order - 1, 0, -1):
+        distinct = {g for d in train for g in grams(d, k + 1)}
+        seen[k] = Counter(g[1:] for g in distinct)
+    cut = {k: language_model.discounts([sum(n == j for n in c.values()) for j in (1, 2, 3, 4)]) for k, c in seen.items()}
+    assert model.low_discounts == cut[1] and [x.discounts for x in model.levels] == [cut[k] for k in range(2, order + 1)]
+    after = {k: defaultdict(list) for k in seen}
+    for k, c in seen.items():
+        for g, n in c.items():
+            after[k][g[:-1]].append(n)
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / (len(words) + 1)
+        if not (own := after[k].get(g[:-1])):
+            return p(g[1:])
+        d = lambda n: cut[k][min(n, 3) - 1] if n else 0
+        n = seen[k].get(g, 0)
+        return (max(0, n - d(n)) + sum(map(d, own)) * p(g[1:])) / sum(own)
+
+    for context in (grams(train[0], order)[0][:-1], grams(train[0], order)[5][:-1]):
+        assert abs(sum(p((*context, w)) for w in [*words, b"??"]) - 1) < 1e-9
+    want = Counter((i, len(w), round(sum(math.log10(p(g)) for g in grams(w, order)), 6)) for i, t, *_ in frames.rows() for w in [tokens(t)])
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in got) == want
+    empty = language_model.train(frames.nothing(spark), order=order)
+    assert language_model.score(docs, empty).filter("n_known > 0 OR isnan(score)").count() == 0
+    assert language_model.score(frames.nothing(spark), model).count() == 0
