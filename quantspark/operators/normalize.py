@@ -115,42 +115,58 @@ def _loess(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float) -> np.ndar
     order = np.argsort(x, kind="stable")
     x, y = x[order], y[order]
     k = max(3, min(len(x), int(np.ceil(span * len(x)))))
-    out = np.empty(len(at))
-    for i, c in enumerate(at):
-        left = int(np.clip(np.searchsorted(x, c) - k // 2, 0, len(x) - k))
+    out, left = np.empty(len(at)), 0
+    for i in np.argsort(at, kind="stable"):
+        c = at[i]
         while left + k < len(x) and x[left + k] - c < c - x[left]:
             left += 1
-        while left > 0 and c - x[left - 1] < x[left + k - 1] - c:
-            left -= 1
         d, own = x[left : left + k] - c, y[left : left + k]
         h = max(np.abs(d).max(), 1e-12) * 1.0000001
-        w = (1 - (np.abs(d) / h) ** 3) ** 1.5  # square root of the tricube weight
-        out[i] = np.linalg.lstsq(np.stack([w, w * d, w * d * d], 1), w * own, rcond=None)[0][0]
+        u = d / h
+        t = 1 - np.abs(u * u * u)
+        w = t * np.sqrt(t)  # square root of the tricube weight
+        x3 = np.stack([w, w * u, w * u * u])
+        g = x3 @ x3.T
+        if np.linalg.cond(g) < 1e8:
+            out[i] = np.linalg.solve(g, x3 @ (w * own))[0]
+        else:  # too few distinct points for a quadratic
+            out[i] = np.linalg.lstsq(np.stack([w, w * d, w * d * d], 1), w * own, rcond=None)[0][0]
     return out
 
 
-def loess(cells: DataFrame, samples: DataFrame, scale: str = "global", span: float = 0.9, knots: int = 2000, value: str = "v") -> DataFrame:
+def loess(cells: DataFrame, samples: DataFrame, scale: str = "global", span: float = 0.9, knots: int = 2000, exact: int = 20_000, value: str = "v") -> DataFrame:
     """Subtract a LOESS curve A ~ M for each sample.
 
-    The curve is fitted on at most ``knots`` points of a sample (quantiles of M with the mean A between them), so a task
-    holds that many numbers however many features there are; values are then interpolated in Spark.
+    A sample of up to ``exact`` points is fitted on all of them, at every point. Of a larger one ``knots`` points are fitted
+    (quantiles of M with the mean A between them) and interpolated in Spark, so a task holds at most ``exact`` points.
     """
     at = ma(reference_values(filled_for_fit(cells, value), samples, scale, value).withColumn("_v", F.col(value)).withColumn(value, F.col("fit")), value)
-    points = at.filter("M IS NOT NULL AND A IS NOT NULL")
-    bins = points.withColumn("bin", F.floor(F.percent_rank().over(Window.partitionBy("Sample").orderBy("M", "INDEX")) * (knots - 1)))
-    means = bins.groupBy("Sample", "bin").agg(F.avg("M").alias("m"), F.avg("A").alias("a"))
+    points = at.filter("M IS NOT NULL AND A IS NOT NULL").select("INDEX", "Sample", "M", "A")
+    sizes = {r["Sample"]: r["count"] for r in points.groupBy("Sample").count().collect()}  # as many rows as samples
+    small, large = ([s for s, n in sizes.items() if (n <= exact) == is_small] for is_small in (True, False))
+
+    def curve(m: np.ndarray, a: np.ndarray) -> np.ndarray:
+        return _loess(m, a, m, span) if len(m) > 3 else np.full(len(m), a.mean())
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"INDEX": pdf["INDEX"], "Sample": pdf["Sample"], "_fit": curve(pdf["M"].to_numpy(), pdf["A"].to_numpy())})
+
+    def fit_knots(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("m")
-        m, a = pdf["m"].to_numpy(), pdf["a"].to_numpy()
-        y = _loess(m, a, m, span) if len(m) > 3 else np.full(len(m), a.mean())
-        return pd.DataFrame({"Sample": [pdf["Sample"].iloc[0]], "_m": [m], "_y": [y]})
-
-    curves = means.groupBy("Sample").applyInPandas(fit, "Sample string, _m array<double>, _y array<double>")
-    below = F.size(F.filter("_m", lambda g: g <= F.col("M")))
-    m0, m1, y0, y1 = F.get("_m", below - 1), F.get("_m", below), F.get("_y", below - 1), F.get("_y", below)
-    predicted = F.when(m0.isNull(), y1).when(m1.isNull(), y0).otherwise(y0 + (y1 - y0) * (F.col("M") - m0) / (m1 - m0))
-    return at.join(curves, "Sample", "left").withColumn(value, F.col("_v") - F.coalesce(predicted, F.lit(0.0))).select(*cells.columns)
+        m = pdf["m"].to_numpy()
+        return pd.DataFrame({"Sample": [pdf["Sample"].iloc[0]], "_m": [m], "_y": [curve(m, pdf["a"].to_numpy())]})
+
+    own = points.filter(F.col("Sample").isin(small)).groupBy("Sample").applyInPandas(fit, "INDEX string, Sample string, _fit double")
+    predicted = F.col("_fit")
+    at = at.join(own, ["INDEX", "Sample"], "left")
+    if large:
+        bins = points.filter(F.col("Sample").isin(large)).withColumn("bin", F.floor(F.percent_rank().over(Window.partitionBy("Sample").orderBy("M", "INDEX")) * (knots - 1)))
+        curves = bins.groupBy("Sample", "bin").agg(F.avg("M").alias("m"), F.avg("A").alias("a")).groupBy("Sample").applyInPandas(fit_knots, "Sample string, _m array<double>, _y array<double>")
+        below = F.size(F.filter("_m", lambda g: g <= F.col("M")))
+        m0, m1, y0, y1 = F.get("_m", below - 1), F.get("_m", below), F.get("_y", below - 1), F.get("_y", below)
+        between = F.when(m0.isNull(), y1).when(m1.isNull(), y0).otherwise(y0 + (y1 - y0) * (F.col("M") - m0) / (m1 - m0))
+        at, predicted = at.join(curves, "Sample", "left"), F.coalesce(predicted, F.when(F.col("_m").isNotNull(), between))
+    return at.withColumn(value, F.col("_v") - F.coalesce(predicted, F.lit(0.0))).select(*cells.columns)
 
 
 def normalize(cells: DataFrame, methods: str | list[str] | None, samples: DataFrame, features: DataFrame | None = None, tags: list[str] | None = None, span: float = 0.9, value: str = "v") -> DataFrame:

@@ -415,7 +415,7 @@ def n8r(spark, sf_dir):
 
 @query("n9_loess")
 def n9(spark, sf_dir):
-    return rounded(normalize.loess(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir), knots=200), "v").select("INDEX", "Sample", "v")
+    return rounded(normalize.loess(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir)), "v").select("INDEX", "Sample", "v")
 
 
 @query("n11_unlog", 'SELECT "INDEX", Sample, round(pow(2, v), 4) AS raw FROM grid')
@@ -593,12 +593,12 @@ def c2(spark, sf_dir):
 
 @query("c2_pca")
 def c2p(spark, sf_dir):
-    return rounded(embed.pca(embed.feature_centred(fx.embedded(spark, sf_dir)), 10)[0], "score", digits=4)
+    return rounded(embed.pca(embed.feature_centred(fx.embedded(spark, sf_dir)))[0], "score", digits=4)
 
 
 @query("c3_neighbours")
 def c3(spark, sf_dir):
-    scores, _ = embed.pca(embed.feature_centred(fx.embedded(spark, sf_dir)), 10)
+    scores, _ = embed.pca(embed.feature_centred(fx.embedded(spark, sf_dir)))
     return rounded(embed.neighbours(scores, 64), "dist", digits=4).select("src", "dst", "dist")
 
 

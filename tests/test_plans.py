@@ -5,10 +5,12 @@ import math
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from quantspark.operators import normalize
 from quantspark.operators.filters import FilterSettings
 from quantspark.plans import pipeline, queries
 from quantspark.sources import readers, sinks
@@ -111,3 +113,44 @@ def test_query_equals_its_sql(spark, duck, name):
 def test_other_queries_have_rows(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
     spark.catalog.clearCache()
+
+
+def test_loess_query_fits_every_point(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    v = r.normal(20, 3, (2_100, 4)) + np.sin(np.arange(2_100) / 300)[:, None] * np.arange(4)
+    rows = [(f"f{i}", f"s{j}", float(v[i, j])) for i in range(len(v)) for j in range(4)]
+    monkeypatch.setattr(queries.fx, "logged", lambda spark, sf_dir: spark.createDataFrame(rows, "INDEX string, Sample string, v double"))
+    got = {(x.INDEX, x.Sample): x.v for x in queries.QUERIES["n9_loess"](spark, SF).collect()}
+    ref = v.mean(1)
+    for j in range(4):
+        m, a = (v[:, j] + ref) / 2, v[:, j] - ref
+        for i in range(0, len(v), 60):
+            near = np.argsort(np.abs(m - m[i]), kind="stable")[: math.ceil(0.9 * len(v))]
+            d = m[near] - m[i]
+            w = (1 - (np.abs(d) / np.abs(d).max()) ** 3) ** 1.5
+            curve = np.linalg.lstsq(np.stack([w, w * d, w * d * d], 1), w * a[near], rcond=None)[0][0]
+            assert math.isclose(got[f"f{i}", f"s{j}"], v[i, j] - curve, abs_tol=1e-5)
+
+
+def test_large_samples_take_knots(spark):
+    c = spark.createDataFrame([(f"f{i}", f"s{j}", float(10 + i / 30 + j * (i / 100) ** 2)) for i in range(300) for j in range(3)], "INDEX string, Sample string, v double")
+    s = spark.createDataFrame([(f"s{j}", "A") for j in range(3)], "Sample string, CONDITION string")
+    exact, by_knots = ({(x.INDEX, x.Sample): x.v for x in normalize.loess(c, s, knots=150, exact=n).collect()} for n in (300, 299))
+    assert exact.keys() == by_knots.keys() and max(abs(exact[k] - by_knots[k]) for k in exact) < 0.05 and exact != by_knots
+
+
+def test_component_queries_keep_all_components(spark):
+    x = np.array([r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()], float).T
+    x = x - x.mean(0)
+    scores = queries.QUERIES["c2_pca"](spark, SF)
+    assert scores.select("pc").distinct().count() == 63
+    own = np.zeros((64, 63))
+    for r in scores.collect():
+        own[int(r.Sample[1:]), r.pc - 1] = r.score
+    assert np.allclose(own @ own.T, x @ x.T, rtol=1e-3, atol=1e-2)
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    got = queries.QUERIES["c3_neighbours"](spark, SF).collect()
+    assert len(got) == 64 * 10 and all(abs(dist[int(r.src[1:]), int(r.dst[1:])] - r.dist) < 1e-3 for r in got)
+    for i in range(64):
+        last = np.sort(np.delete(dist[i], i))[9]
+        assert max(r.dist for r in got if r.src == f"p{i:02d}") <= last + 1e-3
