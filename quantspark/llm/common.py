@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in order, in slices of at most about so many bytes (one row at least), so that a worker's memory
+    follows neither the batch nor its longest texts."""
+    step = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, 1)))
+    for a in range(0, batch.num_rows, step):
+        yield batch.slice(a, step)
+
+
 def mounted(path: str) -> str:
     """The same folder as a path that ``numpy.memmap`` can open; only file systems mounted on every worker have one."""
     parts = urlparse(path)
