@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -13,20 +12,21 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantspark.llm.common import col, mounted, scratch, staged
-from quantspark.llm.hashstore import bucket_count, by_bucket, find, load, save
+from quantspark.llm.common import col, mounted, scratch, slices, small_batches
+from quantspark.llm.hashstore import bucket_count, by_bucket, load, save
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Longer words (in bytes) are merged where they stand, by a heap: a fold takes time with the square of the length.
-LONGEST = 48
 NONE = 1 << 30
-#: Words whose ids a worker remembers; more are looked up again.
-REMEMBERED = 100_000
+#: Up to so many parts a step of the fold merges one pair; of more, every place of the best pair at once.
+SHORT = 64
+#: Words that a worker keeps in each of two generations; others are read again from the mapped files.
+KEPT = 100_000
 
 
 @cache
@@ -45,37 +45,6 @@ def pieces(vocabulary: str) -> list[bytes]:
     return out
 
 
-def merge_long(word: bytes, known: dict[bytes, int]) -> list[int]:
-    """Ranked merges of one word, lowest rank and then leftmost first; in n log n steps if it is long."""
-    if word in known:
-        return [known[word]]
-    if len(word) <= LONGEST:
-        parts = [word[i : i + 1] for i in range(len(word))]
-        while True:
-            found = [known.get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
-            if not found or (best := min(found)) == NONE:
-                return [known[p] for p in parts]
-            i = found.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-    parts = [word[i : i + 1] for i in range(len(word))]
-    after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-    heap = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := known.get(parts[i] + parts[i + 1])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, a, b = heapq.heappop(heap)
-        j = after[i]
-        if j >= len(parts) or parts[i] != a or parts[j] != b or not a:
-            continue  # one of both has merged otherwise since
-        parts[i], parts[j] = a + b, b""
-        after[i] = after[j]
-        if after[i] < len(parts):
-            before[after[i]] = i
-        for x in (before[i], i):
-            if x >= 0 and after[x] < len(parts) and (r := known.get(parts[x] + parts[after[x]])) is not None:
-                heapq.heappush(heap, (r, x, parts[x], parts[after[x]]))
-    return [known[p] for p in parts if p]
-
-
 #: Two primes, not near a power of two: a pair of ids has one slot by the remainder of each.
 SLOTS = (236_069, 261_823)
 
@@ -110,10 +79,17 @@ def merged(word: Column, vocabulary: str = VOCABULARY) -> Column:
     """
     known = ranks(vocabulary)
     table = F.from_json(F.lit(json.dumps({"t": rank_map(vocabulary), "b": [known[bytes([b])] for b in range(256)]}, separators=(",", ":"))), "struct<t:array<bigint>,b:array<int>>")
-    return _let(table, lambda t: _fold(word, t))
+    return _let(table, lambda t: _fold(word, t, len(known) + SHORT))
+
 
+def _fold(word: Column, table: Column, max_steps: int) -> Column:
+    """The state is ids, and the rank of each id with its right neighbour.
+
+    A step merges the leftmost best pair. Among many parts it merges all its places, from the left, as pairs that
+    arise have ranks above that of the pair they arise from; so steps follow the distinct merges, not the length.
+    """
+    nothing = F.array().cast("array<bigint>")
 
-def _fold(word: Column, table: Column) -> Column:
     def rank(a: Column, b: Column) -> Column:
         key = a * F.lit(1 << 16).cast("long") + b
         one, two = (F.get(table["t"], (key % F.lit(p).cast("long")).cast("int")) for p in SLOTS)
@@ -121,23 +97,43 @@ def _fold(word: Column, table: Column) -> Column:
         merge = lambda x: x.bitwiseAND(F.lit(0xFFFF).cast("long"))
         return F.when(there(one), merge(one)).when(there(two), merge(two)).otherwise(F.lit(NONE).cast("long"))
 
+    def state(ids: Column, around: Column) -> Column:
+        return F.struct(ids.alias("ids"), around.alias("ranks"))
+
+    def all_ranks(ids: Column) -> Column:
+        return F.transform(ids, lambda x, i: rank(x, F.get(ids, i + 1)))
+
+    def put_one(ids: Column, r: Column, best: Column, at: Column) -> Column:
+        before = F.when(at > 1, F.array(rank(F.get(ids, at - 2), best))).otherwise(nothing)
+        around = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, F.array(rank(best, F.get(ids, at + 1))), F.slice(r, at + 2, F.lit(SHORT)))
+        return state(F.concat(F.slice(ids, F.lit(1), at - 1), F.array(best), F.slice(ids, at + 2, F.lit(SHORT))), around)
+
+    def put_all(ids: Column, r: Column, best: Column) -> Column:
+        # a run of equal ids is a run of best pairs, of which each second one is taken
+        found = F.split(F.replace(F.array_join(F.transform(r, lambda x: F.when(x == best, "1").otherwise("0")), ""), F.lit("11"), F.lit("10")), "")
+
+        def put(marks: Column) -> Column:
+            stay = F.filter(F.sequence(F.lit(0), F.size(ids) - 1), lambda i: (i == 0) | (F.get(marks, i - 1) == "0"))
+            return _let(F.transform(stay, lambda i: F.when(F.get(marks, i) == "1", best).otherwise(F.get(ids, i))), lambda new: state(new, all_ranks(new)))
+
+        return _let(found, put)
+
     def step(acc: Column, _: Column) -> Column:
-        ids, r, n = acc["ids"], acc["ranks"], F.size(acc["ids"])
+        ids, r = acc["ids"], acc["ranks"]
 
-        def put(best: Column, at: Column) -> Column:
-            before = F.when(at > 1, F.array(rank(F.get(ids, at - 2), best))).otherwise(F.array().cast("array<bigint>"))
-            new = F.concat(F.slice(ids, F.lit(1), at - 1), F.array(best), F.slice(ids, at + 2, n))
-            around = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, F.array(rank(best, F.get(ids, at + 1))), F.slice(r, at + 2, n))
-            return F.struct(new.alias("ids"), around.alias("ranks"))
+        def put(best: Column) -> Column:
+            one = _let(F.array_position(r, best).cast("int"), lambda at: put_one(ids, r, best, at))
+            return F.when(best == NONE, acc).when(F.size(ids) <= SHORT, one).otherwise(put_all(ids, r, best))
 
-        return _let(F.array_min(r), lambda best: F.when(best == NONE, acc).otherwise(_let(F.array_position(r, best).cast("int"), lambda at: put(best, at))))
+        return _let(F.array_min(r), put)
 
-    digits = F.hex(word)
     n = F.octet_length(word)
-    single = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.get(table["b"], F.conv(F.substr(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")).cast("long"))
-    # ranks[i] is that of the pair i, i + 1; the last has no neighbour, and a merge changes two of them
-    start = _let(single, lambda ids: F.struct(ids.alias("ids"), F.transform(ids, lambda x, i: rank(x, F.get(ids, i + 1))).alias("ranks")))
-    return F.aggregate(F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>")), start, step, lambda acc: acc["ids"].cast("array<int>"))
+    single = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda x: F.get(table["b"], F.ascii(x)).cast("long"))
+    single = F.when(n > 0, single).otherwise(nothing)
+    start = _let(single, lambda ids: state(ids, all_ranks(ids)))
+    # a rank that is merged at all its places doesn't come back, so a very long word needs a step for each rank at most
+    steps = F.least(n, F.lit(max_steps))
+    return F.aggregate(F.when(n > 1, F.sequence(F.lit(2), steps)).otherwise(F.array().cast("array<int>")), start, step, lambda acc: acc["ids"].cast("array<int>"))
 
 
 #: The classes of the pattern below U+0250, for which Python's own expressions are twice as fast.
@@ -152,33 +148,50 @@ def split(text: str) -> list[str]:
     return (_ANY if _BEYOND.search(text) else _LATIN).findall(text)
 
 
-def shared_words(rows: DataFrame) -> DataFrame:
-    """word (bytes) of at most LONGEST bytes, each once: those that Arrow batches of the texts send twice or more."""
+def distinct_words(rows: DataFrame) -> DataFrame:
+    """word (bytes): every distinct word of the texts, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[str] = set()
-        for batch in batches:
+        sent = Recent()  # only saves work: a word that is sent again is dropped by the grouping
+        for part in chain.from_iterable(map(slices, batches)):
             words: set[str] = set()
-            for text in batch.column("text").to_pylist():
+            for text in part.column("text").to_pylist():
                 words.update(split(text))
-            words -= sent
-            if len(sent) < REMEMBERED:
-                sent |= words
-            out = [b for w in words if len(b := w.encode()) <= LONGEST]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["word"])
+            new = [w for w in words if w not in sent]
+            sent.update(dict.fromkeys(words))
+            yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in new], pa.binary())], names=["word"])
+
+    return rows.select("text").mapInArrow(run, "word binary").distinct()
+
+
+class Recent:
+    """A mapping of words in two generations of at most about KEPT each; what isn't used is forgotten."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def __contains__(self, word: str) -> bool:
+        return word in self.young or word in self.old
+
+    def get(self, word: str):
+        return self.young[word] if word in self.young else self.old.get(word)
 
-    return rows.select("text").mapInArrow(run, "word binary").groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("word")
+    def update(self, found: dict) -> None:
+        self.young.update(found)
+        if len(self.young) >= KEPT:
+            self.young, self.old = {}, self.young
 
 
 class WordIds:
-    """Ids of words from mapped files: hash-b (in order), end-b (where its ids end), ids-b."""
+    """Ids of words from mapped files: hash-b (in order), word-b and ids-b (all one after another), and where each ends."""
 
-    def __init__(self, folder: str, buckets: int, vocabulary: str):
-        self.folder, self.buckets, self.known, self.kept = folder, buckets, ranks(vocabulary), {}
-        self.files: dict[int, tuple[np.ndarray, ...]] = {}
+    def __init__(self, folder: str, buckets: int):
+        self.folder, self.buckets, self.kept = folder, buckets, Recent()
+        self.files: dict[int, list[np.ndarray]] = {}
 
-    def of(self, words: set[str]) -> dict[str, list[int]]:
-        """Of each of ``words``."""
+    def of(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each of ``words``, as little-endian 32-bit numbers."""
         out = {w: ids for w in words if (ids := self.kept.get(w)) is not None}
         new = [w for w in words if w not in out]
         coded = [w.encode() for w in new]
@@ -186,32 +199,35 @@ class WordIds:
         order = np.argsort(hashes, kind="stable")
         for b, part in by_bucket(hashes[order], self.buckets):
             if b not in self.files:
-                self.files[b] = (load(self.folder, f"hash-{b}"), load(self.folder, f"end-{b}", np.int64), load(self.folder, f"ids-{b}", np.int32))
-            keys, ends, ids = self.files[b]
+                self.files[b] = [load(self.folder, f"{x}-{b}", kind) for x, kind in (("hash", np.uint64), ("word", np.uint8), ("word-end", np.int64), ("ids", np.int32), ("ids-end", np.int64))]
+            keys, letters, letters_end, ids, ids_end = self.files[b]
             at = order[part]
-            place = find(keys, hashes[at])
-            upto, start = (ends[place], np.where(place > 0, ends[place - 1], 0)) if len(ends) else (place, place)
-            for i, p, s, e in zip(at.tolist(), place.tolist(), start.tolist(), upto.tolist(), strict=True):
-                out[new[i]] = ids[s:e].tolist() if p >= 0 else merge_long(coded[i], self.known)
-        if len(self.kept) < REMEMBERED:
-            self.kept.update(out)
+            place = np.searchsorted(keys, hashes[at])
+            spans = [(np.where(place > 0, end[place - 1], 0), end[place]) for end in (letters_end, ids_end)]
+            for i, p, ws, we, s, e in zip(at.tolist(), place.tolist(), *(x.tolist() for span in spans for x in span), strict=True):
+                while letters[ws:we].tobytes() != coded[i]:  # another word with this hash
+                    p, ws, s = p + 1, we, e
+                    we, e = int(letters_end[p]), int(ids_end[p])
+                out[new[i]] = ids[s:e].tobytes()
+        self.kept.update(out)
         return out
 
 
-@lru_cache(maxsize=2)
-def _word_ids(folder: str, buckets: int, vocabulary: str) -> WordIds:
-    return WordIds(folder, buckets, vocabulary)
+@lru_cache(maxsize=1)
+def _word_ids(folder: str, buckets: int) -> WordIds:
+    return WordIds(folder, buckets)
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """id, ids (array of int) of every whole text.
 
-    Each match of the pattern is merged separately. Distinct words that batches share are merged once, in Spark; their
-    ids go to the shared folder as arrays sorted by hash, which workers map into memory to look up each batch's words.
-    Words of one batch alone, and longer ones than LONGEST bytes, gain nothing by that and are merged where they stand.
-    Null and empty texts: no ids. Null and repeated ids and rows are encoded like any other. Empty table: no rows. Other
-    columns are not read.
+    Each match of the pattern is merged separately. All distinct words are merged once, by the fold; their ids go to the
+    shared folder as arrays sorted by hash, with the words beside them, which workers map into memory to look up each
+    slice's words.
+    Null and empty texts: no ids. Very long texts and words: as any other; a worker holds one text and its words. Null and
+    repeated ids and rows are encoded each. Empty table: no rows. Other columns are not read.
     """
+    small_batches(df.sparkSession)
     spark = df.sparkSession
     rows = df.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     folder, nb = mounted(scratch(spark, "words")), bucket_count(spark)
@@ -220,29 +236,26 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         b = table.column("bucket")[0].as_py()
         hashes = table.column("hash").to_numpy().view(np.uint64)
         order = np.argsort(hashes, kind="stable")
-        ids = table.column("ids").combine_chunks().take(pa.array(order))
         save(folder, f"hash-{b}", hashes[order])
-        save(folder, f"end-{b}", np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
-        save(folder, f"ids-{b}", ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+        for name, kind in (("word", np.uint8), ("ids", np.int32)):
+            cells = table.column(name).combine_chunks().take(pa.array(order))
+            save(folder, f"{name}-end-{b}", np.cumsum(pc.binary_length(cells) if name == "word" else pc.list_value_length(cells)).astype(np.int64))
+            save(folder, f"{name}-{b}", np.frombuffer(b"".join(cells.to_pylist()), kind) if name == "word" else cells.flatten().to_numpy(zero_copy_only=False).astype(kind))
         return pa.table({"bucket": pa.array([b], pa.int32()), "n": pa.array([len(hashes)], pa.int64())})
 
     h = F.xxhash64("word")
     bucket = F.shiftrightunsigned(F.shiftrightunsigned(h, 32) * nb, 32).cast("int")
-    words = shared_words(rows).select(bucket.alias("bucket"), h.alias("hash"), merged(F.col("word"), vocabulary).alias("ids"))
+    words = distinct_words(rows).select(bucket.alias("bucket"), h.alias("hash"), "word", merged(F.col("word"), vocabulary).alias("ids"))
     words.groupBy("bucket").applyInArrow(write, "bucket int, n long").agg(F.sum("n")).collect()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = _word_ids(folder, nb, vocabulary)
-        for batch in batches:
-            step = max(1, int(batch.num_rows * (1 << 22) / max(batch.column("text").nbytes, 1)))
-            for a in range(0, batch.num_rows, step):
-                part = batch.slice(a, step)
-                matches = [split(t) for t in part.column("text").to_pylist()]
-                known = store.of(set(chain.from_iterable(matches)))
-                ids = [list(chain.from_iterable(map(known.__getitem__, words))) for words in matches]
-                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "ids"])
+        store = _word_ids(folder, nb)
+        for part in chain.from_iterable(map(slices, batches)):
+            matches = [split(t) for t in part.column("text").to_pylist()]
+            known = store.of(set(chain.from_iterable(matches)))
+            ids = [b"".join(map(known.__getitem__, words)) for words in matches]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))], names=["id", "ids"])
 
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
     return out.select(F.col("id").alias(id_col), "ids")
