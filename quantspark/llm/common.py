@@ -43,6 +43,17 @@ def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 21) -> Iterator[pa.Reco
         yield batch.slice(a, step)
 
 
+def small_batches(spark: SparkSession, most: int = 1000) -> None:
+    """Let Arrow batches hold at most so many rows: texts are long, and both sides of a worker's pipe hold whole batches.
+
+    A setting of the session, as batches are cut when a query runs; a smaller one that is set already stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > most:
+        spark.conf.set(name, str(most))
+
+
 def mounted(path: str) -> str:
     """The same folder as a path that ``numpy.memmap`` can open; only file systems mounted on every worker have one."""
     parts = urlparse(path)

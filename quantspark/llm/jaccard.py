@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantspark.llm.common import col, slices, staged
+from quantspark.llm.common import col, slices, small_batches, staged
 from quantspark.llm.components import components
 from quantspark.llm.hashstore import bucket_count, by_bucket
 
@@ -297,6 +297,7 @@ def jaccard_components(df: DataFrame, k: int = 4, percent: int = 85, id_col: str
     (null if all its ids are null). Repeated ids and rows link like other rows. Empty table: no rows. Other columns are
     not read. Ties: none, all comparisons are exact integers.
     """
+    small_batches(df.sparkSession)
     rows = _texts(df, id_col, text_col)
     found, sketch = _classes(rows, k)
     # copies meet before the shuffle

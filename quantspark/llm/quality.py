@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantspark.llm.common import col, staged
+from quantspark.llm.common import col, slices, small_batches, staged
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
@@ -126,7 +127,7 @@ class QualityModel:
         """The rows of ``docs`` that are kept, all columns as they were."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in chain.from_iterable(map(slices, batches)):
                 found = [statistics(t) for t in batch.column(text_col).to_pylist()]
                 ok = self.scores(np.array([f for _, f in found]).reshape(-1, len(FEATURES))) <= self.threshold
                 ok &= ~np.array([base_failed(s) for s, _ in found], bool)
@@ -137,10 +138,11 @@ class QualityModel:
 
 def with_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, STATS, base_failed and features of every whole text."""
+    small_batches(df.sparkSession)
     rows = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             found = [statistics(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([s[i] for s, _ in found], pa.int64()) for i in range(len(STATS))]
             failed = pa.array([base_failed(s) for s, _ in found], pa.bool_())
@@ -201,7 +203,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """STATS, base_failed, score and kept of every document.
 
     Null or empty text: no words, so the base rules fail. Null ids are judged but have no label; repeated ids and rows
-    are judged each; one id with several labels has the lowest. Empty tables: no rows, or no verdict but the base
+    are judged each; one id with several labels has the lowest. Very long texts: whole, one at a time. A score equal to
+    the threshold is kept. Empty tables: no rows, or no verdict but the base
     rules'. Other columns are not read.
     """
     stats = staged(with_statistics(docs, id_col, text_col), "statistics")
