@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from pyspark.sql import functions as F
 from tests.llm import frames
 
@@ -61,7 +62,7 @@ def test_toxicity_on_odd_rows(spark):
     assert all(r.predicted == 0 for r in toxicity.toxicity(docs, labels.limit(0)).collect())
 
 
-def test_toxicity_held_out(spark):
+def toxic_rows():
     r = random.Random(4)
     texts = frames.texts(900, 8)
     toxic = [i % 8 == 0 for i in range(900)]
@@ -72,6 +73,34 @@ def test_toxicity_held_out(spark):
         for _ in range(r.randint(2, 5) if toxic[i] else 0):
             words.insert(r.randrange(len(words)), r.choice(bad))
         rows.append((i, " ".join(words), 1, int(toxic[i])))
+    return rows
+
+
+def test_label_model_finds_accuracies_without_labels():
+    rng = np.random.default_rng(3)
+    truth = rng.random(200_000) < 0.15
+    toxic, clean = np.array([0.7, 0.6, 0.5, 0.8]), np.array([0.02, 0.01, 0.0, 0.05])
+    votes = (rng.random((len(truth), 4)) < np.where(truth[:, None], toxic, clean)).astype(float)
+    seen, counts = np.unique(votes, axis=0, return_counts=True)
+    model = toxicity.label_model(seen, counts.astype(float), 0.15)
+    assert np.abs(model.if_toxic - toxic).max() < 0.03 and np.abs(model.if_clean - clean).max() < 0.01
+    assert np.abs(model.correlations - np.eye(4)).max() < 0.05
+    assert ((model.posterior(votes) >= 0.5) == truth).mean() > 0.92  # always clean: 0.85
+    # the same voter twice counts about once
+    twice = toxicity.label_model(np.hstack([seen, seen[:, :1]]), counts.astype(float), 0.15)
+    assert twice.weights[0] + twice.weights[4] < 1.35 * model.weights[0]
+
+
+def test_posteriors_outvote_a_wrong_label(spark):
+    docs = spark.createDataFrame(toxic_rows(), "doc_id long, text string, quality int, toxic int")
+    train = docs.filter(~F.col("toxic").isNull()).select("doc_id", F.when(F.col("doc_id") == 880, 0).otherwise(F.col("toxic")).alias("toxic"))
+    assert docs.filter("doc_id = 880 AND toxic = 1").count() == 1
+    got = {r.doc_id: r for r in toxicity.toxicity(docs.drop("toxic"), train).collect()}
+    assert not got[880].held_out and got[880].predicted == 1
+
+
+def test_toxicity_held_out(spark):
+    rows = toxic_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
     got = toxicity.toxicity(docs.drop("toxic", "quality"), docs.select("doc_id", "toxic").filter("doc_id % 2 = 0")).join(docs, "doc_id").filter("held_out").collect()
     assert all(r.predicted == r.toxic for r in got) and len(got) > 200

@@ -80,6 +80,8 @@ def test_top_k_is_exact_with_ties_and_odd_vectors(spark):
     assert topk.threshold_top_k(df.limit(0), F.lit(True)).count() == 0
     large = spark.createDataFrame([(0, [1e12, 3.0]), (1, [1e12, 1.0]), (2, [-1e12, 1.0])], "vec_id long, embedding array<float>")
     assert [r.vec_id for r in topk.threshold_top_k(large, F.col("vec_id") == 0, k=2).orderBy("rank").collect()] == [1, 2]
+    huge = spark.createDataFrame([(0, [1e-3, 1e306]), (1, [5.0, 0.0]), (2, [1.0, -1e306])], "vec_id long, embedding array<double>").coalesce(1)
+    assert [(r.vec_id, r.score) for r in topk.threshold_top_k(huge, F.col("vec_id") == 0, k=2).orderBy("rank").collect()] == [(1, 5120), (2, -(1 << 63))]
 
 
 def brute_components(rows, k, percent):

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import frames
 from tokenizers import Tokenizer
 
@@ -19,7 +20,9 @@ def lower(t):
 
 
 def test_license_scan_counts_every_place(spark):
-    got = {(r.doc_id, r.text_hash): r for r in licenses.license_scan(frames.documents(spark)).collect()}
+    rows = licenses.license_scan(frames.documents(spark)).collect()
+    assert len(rows) == len(frames.rows())
+    got = {(r.doc_id, r.text_hash): r for r in rows}
     by_id = defaultdict(list)
     for (i, _), r in got.items():
         by_id[i].append(r)
@@ -33,6 +36,50 @@ def test_license_scan_counts_every_place(spark):
     assert licenses.license_scan(frames.nothing(spark)).count() == 0
 
 
+def brute_notices(words):
+    """Labels by the longest chain of word pairs in the template's order, tried from every place of the text."""
+    labels = set()
+    for notice, label in licenses.NOTICES.items():
+        t = notice.split()
+        pairs, best = list(zip(t, t[1:], strict=False)), 0
+        for start in range(len(words)):
+            window = words[start : start + 2 * len(t) + 1]
+            there = list(zip(window, window[1:], strict=False))[: 2 * len(t)]
+            row = [0] * (len(pairs) + 1)
+            for w in there:  # longest common subsequence
+                row = [0, *row[1:]] if not row else row
+                new = [0]
+                for j, p in enumerate(pairs):
+                    new.append(max(row[j + 1], new[j], row[j] + 1 if p == w else 0))
+                row = new
+            best = max(best, row[-1])
+        if best >= licenses.COVER * len(pairs):
+            labels.add(label)
+    return labels
+
+
+def test_license_notices_need_the_order_of_words(spark):
+    import random
+
+    r = random.Random(12)
+    shuffled = "2 0 version 2 license version apache license the apache under the licensed under"
+    texts = [shuffled]
+    for notice in [*licenses.NOTICES] * 3:
+        w = notice.split()
+        for _ in range(r.randint(0, 3)):
+            i = r.randrange(len(w))
+            w[i : i + r.randint(0, 2)] = [r.choice("so it is".split())] * r.randint(0, 2)
+        if r.random() < 0.3:
+            r.shuffle(w)
+        texts.append(" ".join(["some", "words", *w, "and", "more"]))
+    got = {x.doc_id: x for x in licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0].labels == ""
+    for i, t in enumerate(texts):
+        assert set(filter(None, got[i].labels.split(","))) - set(got[i].base_labels.split(",")) <= brute_notices(t.split()), t
+        exact = {label for n, label in licenses.NOTICES.items() if n in t}
+        assert exact <= set(got[i].labels.split(",")), t
+
+
 def test_license_notices_match_with_gaps(spark):
     rows = [(1, "Licensed, as it were, under the Apache License, Version 2.0"), (2, "licensed under the apache"), (3, "Released under the  MIT license!"), (4, "GNU General Public License General Public License")]
     got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -42,11 +89,13 @@ def test_license_notices_match_with_gaps(spark):
 
 @pytest.mark.parametrize("most", [32, 2048])
 def test_packing_places_every_piece_once(spark, most):
-    got = packing.pack(frames.documents(spark), most=most).collect()
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
+    special = [(500, "a <|endoftext|> b"), (501, "<|endoftext|>"), (502, "<|endoftext |> <|endoftext|><|endoftext|>x")]
+    docs = frames.documents(spark).select("doc_id", "text").union(spark.createDataFrame(special, "doc_id long, text string"))
+    got = packing.pack(docs.withColumns({c: F.lit(1) for c in ("piece", "length", "offset", "salt")}), most=most, window=5).collect()
+    own = library()
+    assert own.encode(special[0][1], add_special_tokens=False).ids == [64, 220, 50256, 275]
     want = Counter()
-    for i, text, *_ in frames.rows():
+    for i, text, *_ in [*frames.rows(), *special]:
         ids = own.encode(text or "", add_special_tokens=False).ids + [0]
         for k, (start, length) in enumerate(packing.cut(len(ids), most)):
             assert 1 <= length <= most and (k == 0 or length == most)
@@ -81,6 +130,10 @@ def test_plans_serve_the_histogram_exactly():
         assert all(sum(p) <= 64 for p, _ in plan) and len_of(plan) <= len_of(packing.best_fit(dict(h), 64))
 
 
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_bpe_round_trip(spark):
     import base64
 
@@ -93,18 +146,25 @@ def test_bpe_round_trip(spark):
     got = Counter((r.doc_id, tuple(r.ids), hashlib.sha256(bytes(r.back)).hexdigest()) for r in out.withColumn("back", bpe.decoded(out["ids"])).collect())
     want = Counter()
     for i, text, *_ in frames.rows():
-        # one very long word takes the library's own splitter too long; merge_long is tested below
-        ids = tuple(own.encode_ordinary(text or "")) if i != 107 else tuple(bpe.merge_long(b"x" * 200_000, ranks))
+        # one very long word takes that library's splitter too long
+        ids = tuple(own.encode_ordinary(text or "")) if i != 107 else tuple(library().encode(text, add_special_tokens=False).ids)
         want[i, ids, hashlib.sha256((text or "").encode()).hexdigest()] += 1
     assert got == want
     assert bpe.encode(frames.nothing(spark)).count() == 0
 
 
-def test_long_words_merge_like_the_library():
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    known = bpe.ranks(bpe.VOCABULARY)
-    for word in ("a" * 500, "ab" * 333, "thethethe" * 50, "漢字" * 100, "Ünïcödé" * 40):
-        assert bpe.merge_long(word.encode(), known) == own.encode(word, add_special_tokens=False).ids
+def test_every_distinct_word_is_folded_as_the_library_merges(spark):
+    import random
+
+    r = random.Random(6)
+    odd = ["a" * 500, "ab" * 333, "thethethe" * 50, "漢字" * 100, "Ünïcödé" * 40, "aab" * 90, "é", "\0"]
+    odd += ["".join(r.choice(x) for _ in range(r.randint(1, 200))) for x in ("ab", "the", "aeinst", "abcdefghijklmnopqrstuvwxyz", "äöüßé") for _ in range(30)]
+    df = spark.createDataFrame([(w.encode(),) for w in odd], "word binary").select("word", bpe.merged(F.col("word")).alias("ids"))
+    own = library()
+    for r in df.collect():
+        assert r.ids == own.encode(bytes(r.word).decode(), add_special_tokens=False).ids, r.word
+    docs = frames.documents(spark).fillna("", ["text"])
+    assert bpe.distinct_words(docs).count() == len({w for _, t, *_ in frames.rows() for w in bpe.split(t or "")})
 
 
 def test_kneser_ney_is_a_distribution_and_matches_brute_force(spark):
