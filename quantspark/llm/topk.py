@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,12 @@ def usable(vector: Column) -> Column:
 
 
 def scaled(lists: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths, and floor(scale * x) of all components one after another."""
+    """Lengths, and floor(scale * x) of all components one after another; Python integers where a double can't hold them."""
     flat = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
-    return np.diff(lists.offsets.to_numpy()), np.floor(scale * flat)
+    sizes = np.diff(lists.offsets.to_numpy())
+    if len(flat) and np.abs(flat).max() > 2.0**52:  # beyond, a double is a whole number
+        return sizes, np.array([int(x) * scale if abs(x) > 2.0**52 else math.floor(x * scale) for x in flat.tolist()], object)
+    return sizes, np.floor(scale * flat)
 
 
 class Lists:
@@ -34,7 +38,8 @@ class Lists:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[by_id], x[by_id]
-        self.order = np.argsort(self.x, axis=0, kind="stable").T  # dimension x rank, ascending
+        self.most = max(map(abs, self.x.flat), default=0) if x.dtype == object else np.abs(x).max(initial=0)
+        self.order = np.argsort(self.x, axis=0, kind="stable").T if self.most <= EXACT else None  # dimension x rank, ascending
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best of this block, ties to smaller ids.
@@ -73,7 +78,7 @@ class Lists:
 
 
 def _exact_top(ids: np.ndarray, x: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[list[int], list[int]]:
-    """For components too large for float64 sums: whole Python integers, limited to the range of a long."""
+    """For components too large for float64 sums: whole Python integers, limited to the range of a long (beyond it all are ties)."""
     whole = [int(v) for v in query]
     rows = [(-max(-LONG, min(LONG - 1, sum(int(a) * b for a, b in zip(row, whole, strict=True)))), int(i)) for i, row in zip(ids, x, strict=True) if i != own]
     best = sorted(rows)[:k]
@@ -112,7 +117,7 @@ def threshold_top_k(df: DataFrame, queries: Column, k: int = 10, scale: int = 10
                 for query, q in sent.value:
                     if (block := lists.get(len(q))) is None:
                         continue
-                    if max(np.abs(q).max(), np.abs(block.x).max()) > EXACT:
+                    if max(block.most, *map(abs, q.tolist())) > EXACT:
                         best, score = _exact_top(block.ids, block.x, q, query, k)
                     else:
                         best, score = block.top(q, query, k)
