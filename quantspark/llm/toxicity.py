@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import exp, lgamma, log
+from itertools import chain
+from math import log
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantspark.llm.common import col, staged
+from quantspark.llm.common import col, slices, small_batches, staged
 from quantspark.llm.language_model import held_out
 
 #: Common English insults, the lexicon that needs no labels.
@@ -22,8 +23,10 @@ INSULTS = "idiot moron stupid dumb loser trash scum pathetic worthless disgustin
 WORD = re.compile(r"\w+")
 #: Lengths of word beginnings that may become patterns.
 STEMS = (3, 4, 5, 6, 7, 8)
-#: Mined words and patterns are dealt to so many voters of each kind.
-LEXICONS, PATTERNS = 4, 5
+#: Mined words and patterns are dealt to so many voters, the strongest first, so that those of one language differ.
+GROUPS = 9
+#: So many lexemes are expected to be mined by chance among all that stand in equally many documents.
+CHANCE = 0.02
 
 
 def lexemes(text: str | None) -> set[str]:
@@ -34,43 +37,41 @@ def lexemes(text: str | None) -> set[str]:
     return found
 
 
-def by_chance(p: int, n: int, rate: float) -> float:
-    """Probability that p or more of p + n documents are toxic, if each is with probability ``rate``."""
-    k = p + n
-    return sum(exp(lgamma(k + 1) - lgamma(i + 1) - lgamma(k - i + 1) + i * log(rate) + (k - i) * log(1 - rate)) for i in range(p, k + 1))
+def least_toxic(rivals: dict[int, int], positive: int, negative: int) -> dict[int, int]:
+    """For each number k of documents, in how many toxic ones at least a lexeme must stand to be mined.
 
-
-def mined(counts: list[tuple[str, int, int]], rivals: dict[int, int], positive: int, negative: int, most: int, chance: float = 0.3) -> list[str]:
-    """Lexemes that stand in far more toxic than clean documents, from their document counts.
-
-    ``rivals``: how many lexemes stand in k documents. Those stay of which fewer than ``chance`` would be expected by
-    chance among all lexemes in as many documents.
-    Of a chain of word beginnings with the same counts the longest stays, and a longer one goes if a shorter one that
-    stays is as clean and is found at least as often.
+    ``rivals``: how many lexemes stand in k documents. Fewer than CHANCE of them would be in so many by chance, and the
+    rate in toxic documents is eight times that in clean ones or more.
     """
-    strong = {}
-    for lexeme, p, n in counts:
-        rate = positive / (positive + negative)
-        gain = p * log(p / (p + n) / rate) + (n * log(n / (p + n) / (1 - rate)) if n else 0)  # log likelihood ratio
-        if p / positive >= 8 * n / max(negative, 1) and by_chance(p, n, positive / (positive + negative)) * rivals[p + n] < chance:
-            strong[lexeme] = (gain, p, n)
-    longer = {}
-    for x in strong:
-        shorter = x[1:] if x[0] == "=" else x[:-1]
-        longer.setdefault(shorter, []).append(x)
-    closed = {x for x in strong if not any(strong[y][1:] == strong[x][1:] for y in longer.get(x, []))}
-    kept: list[str] = []
-    for x in sorted(closed, key=lambda x: (len(x.lstrip("=")), x)):
-        word = x.lstrip("=")
-        shorter = [word[:k] for k in STEMS if k < len(word) or (x[0] == "=" and k == len(word))]
-        if not any(s in kept_set and strong[s][2] <= strong[x][2] and strong[s][1] >= strong[x][1] for kept_set in (set(kept),) for s in shorter):
-            kept.append(x)
-    return sorted(kept, key=lambda x: (-strong[x][0], x))[:most]
+    rate, out = positive / (positive + negative), {}
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, max(rivals, default=0) + 1)))])
+    for k, n in rivals.items():
+        p = np.arange(k + 1)
+        exactly = np.exp(log_factorial[k] - log_factorial[p] - log_factorial[k - p] + p * log(rate) + (k - p) * log(1 - rate))
+        at_least = exactly[::-1].cumsum()[::-1]
+        fit = np.flatnonzero((p >= 2) & (p * negative >= 8 * (k - p) * positive) & (at_least * n < CHANCE))
+        if len(fit):
+            out[k] = int(fit[0])
+    return out
+
+
+def mined(counts: list[tuple[str, int, int]], positive: int, negative: int) -> list[str]:
+    """Of words and beginnings that extend each other, the one with the largest log likelihood ratio (the longest, if
+    equal), strongest first."""
+    rate = positive / (positive + negative)
+    gain = {x: (round(p * log(p / (p + n) / rate) + (n * log(n / (p + n) / (1 - rate)) if n else 0), 9), len(x)) for x, p, n in counts}
+    shorter = lambda x: [w[:k] for w in (x.lstrip("="),) for k in STEMS if k < len(w) or (x[0] == "=" and k == len(w))]
+    beyond: dict[str, tuple[float, int]] = {}
+    for x in gain:
+        for s in shorter(x):
+            beyond[s] = max(beyond.get(s, gain[x]), gain[x])
+    kept = [x for x in gain if gain[x] > beyond.get(x, (-1.0, 0)) and not any(gain.get(s, (-1.0, 0)) > gain[x] for s in shorter(x))]
+    return sorted(kept, key=lambda x: (-gain[x][0], x))
 
 
 @dataclass(frozen=True)
 class Voters:
-    """Lexicon voters, pattern voters and voters on how dense and loud a text is; each votes for toxic (1) or not (0)."""
+    """Lexicon voters, pattern voters and voters on how dense and loud a text is; each votes for toxic (1) or abstains (0)."""
 
     lexemes: tuple[str, ...]
     at: dict[str, int] = field(init=False, repr=False)
@@ -80,12 +81,11 @@ class Voters:
     def __post_init__(self):
         object.__setattr__(self, "at", {x: i for i, x in enumerate(self.lexemes)})
         object.__setattr__(self, "stems", tuple(sorted({len(x) for x in self.lexemes if x[0] != "="})))
-        deal = lambda x: 1 + zlib.crc32(x.encode()) % LEXICONS if x[0] == "=" else 1 + LEXICONS + zlib.crc32(x.encode()) % PATTERNS
-        object.__setattr__(self, "group", tuple(map(deal, self.lexemes)))
+        object.__setattr__(self, "group", tuple(1 + i % GROUPS for i in range(len(self.lexemes))))
 
     @property
     def names(self) -> list[str]:
-        return ["insults", *(f"lexicon-{i}" for i in range(LEXICONS)), *(f"pattern-{i}" for i in range(PATTERNS)), "several", "dense", "loud"]
+        return ["insults", *(f"lexicon-{i}" for i in range(GROUPS)), "several", "dense", "loud"]
 
     def hits(self, text: str | None) -> tuple[int, int, list[int], list[int]]:
         """Votes as bits, number of words, and which lexemes stand how often."""
@@ -104,58 +104,63 @@ class Voters:
         for i in found:
             bits |= 1 << self.group[i]
         total = insults + sum(found.values())
-        last = LEXICONS + PATTERNS + 1
+        last = GROUPS + 1
         bits |= (len(found) + (insults > 0) > 1) << last | (100 * total >= max(len(words), 1)) << (last + 1) | (text.count("!!") > 2) << (last + 2)
         return bits, len(words), list(found), list(found.values())
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """log odds of toxic = weights @ votes + bias, with what they come from: each voter's rate of votes by class, and the
-    correlations left between voters within a class."""
+    """log odds of toxic = weights @ votes + bias (+ silence, if no voter votes), with what they come from: each voter's
+    rate of votes by class, and the correlations left between voters within a class."""
 
     weights: np.ndarray
     bias: float
+    silence: float
     if_toxic: np.ndarray
     if_clean: np.ndarray
     correlations: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(votes @ self.weights + self.bias, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(votes @ self.weights + self.bias + self.silence * ~votes.any(1), -30, 30)))
 
 
-def label_model(votes: np.ndarray, counts: np.ndarray, prior: float) -> LabelModel:
+def label_model(votes: np.ndarray, counts: np.ndarray, prior: float, known: np.ndarray | None = None, floor: float = 0.002) -> LabelModel:
     """From vote patterns and how many documents have each, without labels but for the share of toxic ones.
 
     If two voters are independent within a class, their covariance is d_i d_j p (1 - p), d being the difference of a
-    voter's rates between the classes. So each triplet gives d_i, and the median over all triplets is taken. What
-    covariance is left over is correlation within a class (voters that look at the same words); weights solve the
-    linear discriminant for that covariance, so that correlated voters don't count twice.
+    voter's rates between the classes. So each triplet gives d_i, and the median over all triplets is taken; a voter
+    that is in no triplet has ``known``, its difference on labelled rows (none: 0). What covariance is left over is correlation within a class (voters that look at the same words). A vote counts by the
+    log ratio of its rates, divided by the sum of the voter's correlations, so that correlated voters don't count
+    twice; a voter that is silent abstains, and only the silence of all counts against toxic.
     """
     n, m = counts.sum(), votes.shape[1]
     mean = counts @ votes / n
     cov = (votes * counts[:, None]).T @ votes / n - np.outer(mean, mean)
     spread = prior * (1 - prior)
-    d = np.zeros(m)
-    for i in range(m):
-        ratios = [cov[i, j] * cov[i, k] / cov[j, k] for j in range(m) for k in range(j) if i not in (j, k) and cov[j, k] > 1e-9 and cov[i, j] > 0 and cov[i, k] > 0]
-        d[i] = min(1.0, (np.median(ratios) / spread) ** 0.5) if ratios else 0.0
-    d = np.minimum(d, mean / max(prior, 1e-9))  # no voter can vote oftener on toxic texts than it does at all
-    if_clean = np.clip(mean - prior * d, 0, 1)
-    if_toxic = np.clip(if_clean + d, 0, 1)
-    within = cov - np.outer(d, d) * spread
-    floor = np.maximum(prior * if_toxic * (1 - if_toxic) + (1 - prior) * if_clean * (1 - if_clean), 1e-4)
-    sd = floor**0.5
-    correlations = np.clip(within / np.outer(sd, sd), -0.9, 0.9)
-    np.fill_diagonal(correlations, 1.0)
-    shrunk = 0.5 * correlations + 0.5 * np.eye(m)
-    low, vectors = np.linalg.eigh(shrunk)
-    weights = (vectors / np.maximum(low, 0.1)) @ vectors.T @ (d / sd) / sd
-    bias = float(-weights @ (if_toxic + if_clean) / 2 + np.log(prior / (1 - prior)))
-    return LabelModel(weights, bias, if_toxic, if_clean, correlations)
-
-
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 0.3, rounds: int = 25) -> np.ndarray:
+    tied = np.eye(m, dtype=bool)
+    for _ in range(2):  # again without triplets that hold a pair which turned out to be correlated
+        d = np.zeros(m)
+        for i in range(m):
+            pairs = [(j, k) for j in range(m) for k in range(j) if not (tied[i, j] or tied[i, k] or tied[j, k])]
+            ratios = [cov[i, j] * cov[i, k] / cov[j, k] for j, k in pairs if cov[j, k] > 1e-9 and cov[i, j] > 0 and cov[i, k] > 0]
+            d[i] = min(1.0, (np.median(ratios) / spread) ** 0.5) if ratios else 0.0 if known is None else max(0.0, float(known[i]))
+        d = np.minimum(d, mean / max(prior, 1e-9))  # no voter can vote oftener on toxic texts than it does at all
+        if_clean = np.clip(mean - prior * d, 0, 1)
+        if_toxic = np.clip(if_clean + d, 0, 1)
+        sd = np.maximum(prior * if_toxic * (1 - if_toxic) + (1 - prior) * if_clean * (1 - if_clean), 1e-4) ** 0.5
+        correlations = np.clip((cov - np.outer(d, d) * spread) / np.outer(sd, sd), -0.9, 0.9)
+        np.fill_diagonal(correlations, 1.0)
+        tied = correlations > 0.7
+    low = np.clip(if_clean, floor, 1)
+    weights = np.log(np.clip(if_toxic, low, 1) / low) / np.maximum(correlations, 0).sum(1)
+    any_clean = 1 - np.prod(1 - if_clean)
+    any_toxic = np.clip((counts @ votes.any(1) / n - (1 - prior) * any_clean) / prior, 0.5, 0.98)
+    silence = min(0.0, float(np.log((1 - any_toxic) / max(1 - any_clean, 1e-9))))
+    return LabelModel(weights, float(np.log(prior / (1 - prior))), silence, if_toxic, if_clean, correlations)
+
+
+def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: int = 25) -> np.ndarray:
     """Weights (the last is the bias) of a logistic regression on soft targets, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -189,7 +194,7 @@ class ToxicityModel:
         """The rows of ``docs`` that score below ``threshold``, all columns as they were."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in chain.from_iterable(map(slices, batches)):
                 found = [self.voters.hits(t) for t in batch.column(text_col).to_pylist()]
                 p = self.score_hits(np.array([n for _, n, _, _ in found]), [f for *_, f, _ in found], [t for *_, t in found])
                 yield batch.filter(pa.array(p < threshold))
@@ -207,11 +212,30 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     return staged(docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id"), "labelled-texts")
 
 
+def _without_copies(sample: DataFrame) -> DataFrame:
+    """Of rows that share one of three smallest hashes of three words the first, so that near copies aren't evidence twice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(map(slices, batches)):
+            keys = []
+            for text in batch.column("text").to_pylist():
+                words = WORD.findall((text or "").lower())
+                grams = [xxhash.xxh3_64_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))]
+                keys.append([min(grams) >> 1, max(grams) >> 1, min(g * 0x9E3779B97F4A7C15 % (1 << 64) for g in grams) >> 1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*batch.schema.names, "_keys"])
+
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in sample.schema)}, _keys array<long>"
+    keyed = staged(sample.mapInArrow(run, schema).withColumn("me", F.struct(F.xxhash64("text").alias("h"), "id")).dropDuplicates(["me"]), "sample-keys")
+    each = keyed.select("me", F.posexplode("_keys").alias("which", "key"))
+    first = each.groupBy("which", "key").agg(F.min("me").alias("first"))
+    copies = each.join(first, ["which", "key"]).filter("me <> first").select("me").distinct()
+    return staged(keyed.join(copies, "me", "left_anti").select("id", "text", "toxic"), "fit-texts")
+
+
 def _counted(sample: DataFrame) -> DataFrame:
     """Document counts of each lexeme by label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             of = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 of[toxic > 0].update(lexemes(text))
@@ -226,7 +250,7 @@ def with_hits(df: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: s
     rows = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             bits, n, found, times = zip(*map(voters.hits, batch.column("text").to_pylist()), strict=True) if batch.num_rows else ((), (), (), ())
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits, pa.int64()), pa.array(n, pa.int64()), pa.array(found, ints), pa.array(times, ints)], names=["id", "votes", "n_words", "found", "times"])
@@ -234,22 +258,26 @@ def with_hits(df: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: s
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, votes long, n_words long, found array<int>, times array<int>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = 6000, most: int = 400) -> tuple[ToxicityModel, DataFrame]:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = 6000) -> tuple[ToxicityModel, DataFrame]:
     """The model, and every document's hits.
 
     Lexemes are mined, and the classifier is trained, on a bounded sample: at most ``fit_rows`` labelled training rows
-    of each label (crc32 of the id mod 3 isn't 1). The label model's vote patterns are counted over all documents.
-    The share of toxic documents comes from all labelled training rows.
+    of each label (crc32 of the id mod 3 isn't 1), near copies once. Every lexeme of it that passes ``least_toxic`` is
+    taken, however many. The label model's vote patterns are counted over all documents. The share of toxic documents
+    comes from all labelled training rows. The classifier's targets are the label model's posteriors; the rows' own
+    labels are not among them, and tell the label model no more than the accuracy of voters that are in no triplet.
     """
-    sample = _sample(docs, labels, id_col, text_col, label_col, fit_rows)
+    small_batches(docs.sparkSession)
+    sample = _without_copies(_sample(docs, labels, id_col, text_col, label_col, fit_rows))
     size = sample.groupBy((F.col("toxic") > 0).alias("t")).count().collect()
     positive, negative = (sum(r["count"] for r in size if r["t"] is x) for x in (True, False))
     found: list[str] = []
     if positive:
-        counts = staged(_counted(sample), "lexemes")
-        rivals = {r[0]: r[1] for r in counts.groupBy((F.col("p") + F.col("n")).alias("k")).count().collect()}  # at most 2 * fit_rows
-        rows = counts.filter(f"p >= 2 and p * {max(negative, 1)} >= 8 * n * {positive}").orderBy(F.desc("p"), "n", "lexeme").limit(20 * most).collect()
-        found = mined([tuple(r) for r in rows], rivals, positive, max(negative, 1), most)
+        counts = staged(_counted(sample), "lexemes").withColumn("k", F.col("p") + F.col("n"))
+        rivals = {r[0]: r[1] for r in counts.groupBy("k").count().collect()}  # at most 2 * fit_rows
+        least = list(least_toxic(rivals, positive, max(negative, 1)).items())
+        rows = counts.join(F.broadcast(sample.sparkSession.createDataFrame(least, "k long, least long")), "k").filter("p >= least").select("lexeme", "p", "n").collect()
+        found = mined([tuple(r) for r in rows], positive, max(negative, 1))
     voters = Voters(tuple(found))
     hits = staged(with_hits(docs, voters, id_col, text_col), "hits")
 
@@ -259,19 +287,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     patterns = hits.groupBy("votes").count().collect()  # at most 2 ** voters, whatever the input
     m = len(voters.names)
     votes = np.array([[r["votes"] >> i & 1 for i in range(m)] for r in patterns], float).reshape(-1, m)
-    labelled = label_model(votes, np.array([r["count"] for r in patterns], float), prior) if patterns else LabelModel(np.zeros(m), -9.0, np.zeros(m), np.zeros(m), np.eye(m))
-
-    gold = sample.select("id", "toxic").distinct()
-    fitted = with_hits(sample, voters, "id", "text").join(gold, "id").select("votes", "found", "times", "toxic").toPandas()  # at most 2 * fit_rows rows
+    fitted = with_hits(sample, voters, "id", "text").join(sample.select("id", "toxic").distinct(), "id").select("votes", "found", "times", "toxic").toPandas()  # at most 2 * fit_rows ids
     x = np.zeros((len(fitted), len(found)))
     for i, (f, t) in enumerate(zip(fitted["found"], fitted["times"], strict=True)):
         x[i, np.asarray(f, int)] = np.log2(1 + np.asarray(t, float))
-    bits = fitted["votes"].to_numpy(np.int64)
-    weak = labelled.posterior((bits[:, None] >> np.arange(m) & 1).astype(float))
-    # the row's own label is one more voter, right 99 times in 100; voters of one language can't outvote it
-    odds = np.clip(np.log(weak / (1 - weak)), -4, 4) + np.log(99) * np.where(fitted["toxic"] > 0, 1, -1)
-    target = 1 / (1 + np.exp(-odds))
-    weights = logistic(x, target) if len(fitted) else np.append(np.zeros(len(found)), -9.0)
+    own = (fitted["votes"].to_numpy(np.int64)[:, None] >> np.arange(m) & 1).astype(float)
+    toxic = fitted["toxic"].to_numpy() > 0
+    known = own[toxic].mean(0) - own[~toxic].mean(0) if toxic.any() and not toxic.all() else None
+    labelled = label_model(votes, np.array([r["count"] for r in patterns], float), prior, known) if patterns else LabelModel(np.zeros(m), -9.0, 0.0, np.zeros(m), np.zeros(m), np.eye(m))
+    weights = logistic(x, labelled.posterior(own)) if len(fitted) else np.append(np.zeros(len(found)), -9.0)
     return ToxicityModel(voters, labelled, weights), hits
 
 
@@ -280,7 +304,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Null and empty texts have no hits and get the score of a clean text. Null ids count as empty ones for the hold-out
     and have no label; repeated ids and rows are scored each; one id with several labels is toxic if one of them is.
-    Without labelled training rows the lexicon of insults alone is left. Empty tables: no rows. Other columns are not read.
+    Without labelled toxic rows to learn from no lexemes are mined, so that all documents score alike, below the
+    threshold. A score equal to the threshold is toxic. Very long texts: words are counted slice by slice of a batch, one
+    text at a time. Empty tables: no rows. Other columns are not read.
     """
     model, hits = fit(docs, labels, id_col, text_col, **params)
     m = len(model.voters.names)
