@@ -41,6 +41,7 @@ def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 21) -> Iterator[pa.Reco
     step = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, 1)))
     for a in range(0, batch.num_rows, step):
         yield batch.slice(a, step)
+    pa.default_memory_pool().release_unused()  # a worker outlives its tasks
 
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
