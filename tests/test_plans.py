@@ -2,6 +2,7 @@
 
 import glob
 import math
+from decimal import Decimal
 import os
 
 import duckdb
@@ -95,7 +96,7 @@ def duck():
 def shown(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "~"
-    return f"{float(v) + 0.0:.5f}" if isinstance(v, int | float) and not isinstance(v, bool) else str(v)
+    return f"{float(v) + 0.0:.5f}" if isinstance(v, int | float | Decimal) and not isinstance(v, bool) else str(v)
 
 
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n in queries.ORACLES])
