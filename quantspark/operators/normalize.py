@@ -46,19 +46,25 @@ def median_equalization_by_tag(cells: DataFrame, features: DataFrame, tags: list
 
 
 def quantile_uniform(cells: DataFrame, value: str = "v", most: int = 1000) -> DataFrame:
-    """Each sample mapped to [0, 1] by at most ``most`` quantiles of its values; ties go to the middle of their quantiles.
+    """Each sample mapped to [0, 1] by min(``most``, its number of values) quantiles; ties go to the middle of their quantiles.
 
-    The grid of a sample is one array of at most ``most`` numbers; a value is interpolated on it from both ends.
+    The grid of a sample is one array of at most ``most`` numbers, its sorted values where it has no more than that; a
+    value is interpolated on it from both ends. The only value of a sample becomes 0.
     """
-    n = cells.groupBy("Sample").agg(F.count(value).alias("_n"), F.percentile(value, F.lit([i / (most - 1) for i in range(most)])).alias("_grid"))
+    # one row for each sample
+    counted = cells.join(F.broadcast(cells.groupBy("Sample").agg(F.count(value).alias("_n"))), "Sample")
+    few = F.sort_array(F.collect_list(F.when(F.col("_n") <= most, F.col(value))))
+    many = F.percentile(value, F.lit([i / (most - 1) for i in range(most)]))
+    n = counted.groupBy("Sample").agg(F.when(F.max("_n") <= most, few).otherwise(many).alias("_grid"))
     joined = cells.join(n, "Sample", "left")
-    x, grid, last = F.col(value), F.col("_grid"), most - 1
+    x, grid = F.col(value), F.col("_grid")
+    last = F.size(grid) - 1
     below = F.size(F.filter(grid, lambda g: g < x))  # grid points under x
     upto = F.size(F.filter(grid, lambda g: g <= x))
     low, high = F.get(grid, below - 1), F.get(grid, below)
     between = below - 1 + (x - low) / (high - low)
-    place = F.when(upto > below, (below + upto - 1) / 2.0).when(below == 0, F.lit(0.0)).when(below > last, F.lit(float(last))).otherwise(between)
-    return joined.withColumn(value, F.when(x.isNotNull(), place / last)).drop("_n", "_grid")
+    place = F.when(upto > below, (below + upto - 1) / 2.0).when(below == 0, F.lit(0.0)).when(below > last, last.cast("double")).otherwise(between)
+    return joined.withColumn(value, F.when(x.isNotNull(), F.when(last == 0, 0.0).otherwise(place / last))).drop("_grid")
 
 
 def reference_values(cells: DataFrame, samples: DataFrame, scale: str = "global", value: str = "v") -> DataFrame:

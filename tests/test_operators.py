@@ -117,6 +117,8 @@ def test_normalization(spark):
     assert values(normalize.log_transform(cells(spark, {"x": [8.0, 0.0, None]})), "v")["x", "a"] == 3.0
     q = values(normalize.quantile_uniform(cells(spark, {f: [v] for f, v in zip("stuvw", (5.0, 1.0, 3.0, 3.0, 9.0), strict=True)})), "v")
     assert [round(q[f, "a"], 3) for f in "tuvsw"] == [0.0, 0.375, 0.375, 0.75, 1.0]
+    few = values(normalize.quantile_uniform(cells(spark, {f: [v] for f, v in zip("stu", (0.0, 1.0, 10.0), strict=True)})), "v")
+    assert [few[f, "a"] for f in "stu"] == [0.0, 0.5, 1.0]
     with pytest.raises(ValueError):
         normalize.normalize(c, "zscore", samples(spark, "AAB"))
 
