@@ -26,7 +26,7 @@ NONE = 1 << 30
 #: Up to so many parts a step of the fold merges one pair; of more, every place of the best pair at once.
 SHORT = 64
 #: Words that a worker keeps in each of two generations; others are read again from the mapped files.
-KEPT = 100_000
+KEPT = 250_000
 
 
 @cache
@@ -143,9 +143,18 @@ _BEYOND = re.compile("[\u0250-\U0010ffff]")
 _ANY = regex.compile(public_tokenizers.PATTERN)
 
 
+def _within(text: str) -> bool:
+    """Whether all characters are below U+0250; for most texts encoding tells it sooner than a search."""
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not _BEYOND.search(text)
+
+
 def split(text: str) -> list[str]:
     """All matches of the pattern."""
-    return (_ANY if _BEYOND.search(text) else _LATIN).findall(text)
+    return (_LATIN if _within(text) else _ANY).findall(text)
 
 
 def distinct_words(rows: DataFrame) -> DataFrame:
@@ -184,35 +193,50 @@ class Recent:
 
 
 class WordIds:
-    """Ids of words from mapped files: hash-b (in order), word-b and ids-b (all one after another), and where each ends."""
+    """Ids of words from mapped files: hash-b (in order), word-b and ids-b (all one after another), and where each starts."""
 
     def __init__(self, folder: str, buckets: int):
         self.folder, self.buckets, self.kept = folder, buckets, Recent()
-        self.files: dict[int, list[np.ndarray]] = {}
+        self.files: dict[int, tuple[np.ndarray, pa.Array, pa.Array]] = {}
+
+    def _bucket(self, b: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Hashes, words and ids of a bucket; the arrays stand on the mapped files."""
+        if b not in self.files:
+            keys = load(self.folder, f"hash-{b}")
+            cells = [[pa.py_buffer(load(self.folder, f"{name}-{x}{b}", kind)) for x, kind in (("start-", np.int64), ("", np.uint8))] for name in ("word", "ids")]
+            self.files[b] = keys, *(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, *c]) for c in cells)
+        return self.files[b]
 
     def of(self, words: set[str]) -> dict[str, bytes]:
         """The ids of each of ``words``, as little-endian 32-bit numbers."""
         out = {w: ids for w in words if (ids := self.kept.get(w)) is not None}
         new = [w for w in words if w not in out]
         coded = [w.encode() for w in new]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(b, seed=42) for b in coded), np.uint64, len(coded))
+        hashes = np.fromiter((xxhash.xxh64_intdigest(b, 42) for b in coded), np.uint64, len(coded))
         order = np.argsort(hashes, kind="stable")
+        asked = pa.array(coded, pa.large_binary())
         for b, part in by_bucket(hashes[order], self.buckets):
-            if b not in self.files:
-                self.files[b] = [load(self.folder, f"{x}-{b}", kind) for x, kind in (("hash", np.uint64), ("word", np.uint8), ("word-end", np.int64), ("ids", np.int32), ("ids-end", np.int64))]
-            keys, letters, letters_end, ids, ids_end = self.files[b]
+            keys, stored, ids = self._bucket(b)
             at = order[part]
-            place = np.searchsorted(keys, hashes[at])
-            spans = [(np.where(place > 0, end[place - 1], 0), end[place]) for end in (letters_end, ids_end)]
-            for i, p, ws, we, s, e in zip(at.tolist(), place.tolist(), *(x.tolist() for span in spans for x in span), strict=True):
-                while letters[ws:we].tobytes() != coded[i]:  # another word with this hash
-                    p, ws, s = p + 1, we, e
-                    we, e = int(letters_end[p]), int(ids_end[p])
-                out[new[i]] = ids[s:e].tobytes()
+            place, there = np.searchsorted(keys, hashes[at]), asked.take(pa.array(at))
+            open_ = np.arange(len(at))
+            while len(open_):  # on while another word with this hash stands here; beyond the last one it is an error
+                same = pc.equal(stored.take(pa.array(place[open_])), there.take(pa.array(open_)))
+                open_ = open_[~same.to_numpy(zero_copy_only=False)]
+                place[open_] += 1
+            out.update(zip(map(new.__getitem__, at.tolist()), cells_of(ids.take(pa.array(place))), strict=True))
         self.kept.update(out)
         return out
 
 
+def cells_of(cells: pa.LargeBinaryArray) -> Iterator[bytes]:
+    """The values of an array without nulls."""
+    _, starts, values = cells.buffers()
+    at = np.frombuffer(starts, np.int64)[cells.offset : cells.offset + len(cells) + 1].tolist()
+    whole = memoryview(values) if values else memoryview(b"")
+    return (whole[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True))
+
+
 @lru_cache(maxsize=1)
 def _word_ids(folder: str, buckets: int) -> WordIds:
     return WordIds(folder, buckets)
@@ -239,8 +263,10 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         save(folder, f"hash-{b}", hashes[order])
         for name, kind in (("word", np.uint8), ("ids", np.int32)):
             cells = table.column(name).combine_chunks().take(pa.array(order))
-            save(folder, f"{name}-end-{b}", np.cumsum(pc.binary_length(cells) if name == "word" else pc.list_value_length(cells)).astype(np.int64))
-            save(folder, f"{name}-{b}", np.frombuffer(b"".join(cells.to_pylist()), kind) if name == "word" else cells.flatten().to_numpy(zero_copy_only=False).astype(kind))
+            sizes = pc.binary_length(cells) if name == "word" else pc.multiply(pc.list_value_length(cells), 4)
+            save(folder, f"{name}-start-{b}", np.cumsum([0, *sizes.to_pylist()], dtype=np.int64))
+            flat = np.frombuffer(b"".join(cells.to_pylist()), kind) if name == "word" else cells.flatten().to_numpy(zero_copy_only=False).astype(kind)
+            save(folder, f"{name}-{b}", flat.view(np.uint8))
         return pa.table({"bucket": pa.array([b], pa.int32()), "n": pa.array([len(hashes)], pa.int64())})
 
     h = F.xxhash64("word")

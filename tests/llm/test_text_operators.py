@@ -6,13 +6,16 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tests.llm import frames
 from tokenizers import Tokenizer
 
 from quantspark.llm import bpe, language_model, licenses, packing
+from quantspark.llm.hashstore import save
 
 
 def lower(t):
@@ -134,6 +137,20 @@ def library():
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def test_words_of_equal_hash_keep_their_own_ids(tmp_path):
+    folder, wanted = str(tmp_path), "wanted"
+    h = np.uint64(xxhash.xxh64_intdigest(wanted.encode(), 42))
+    save(folder, "hash-0", np.array([h, h], np.uint64))
+    for name, cells in (("word", [b"another", wanted.encode()]), ("ids", [b"\1\0\0\0", b"\2\0\0\0\3\0\0\0"])):
+        save(folder, f"{name}-start-0", np.cumsum([0, *map(len, cells)], dtype=np.int64))
+        save(folder, f"{name}-0", np.frombuffer(b"".join(cells), np.uint8))
+    store = bpe.WordIds(folder, 1)
+    assert store.of({wanted}) == {wanted: b"\2\0\0\0\3\0\0\0"}
+    assert store.of(set()) == {}
+    with pytest.raises(IndexError):
+        store.of({"absent"})
+
+
 def test_bpe_round_trip(spark):
     import base64
 
