@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,22 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6, nudge: float = 0.0) -
     return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
 
 
+#: Samples, conditions and contrasts of the star schema, for the column lists of wide SQL results.
+SAMPLES = [f"NATION_{i}" for i in range(25)]
+CONDITIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+CONTRASTS = [f"{a}_vs_{b}" for a, b in combinations(CONDITIONS, 2)]
+
+
+def _filtered(value: str, key: str, names: list[str], prefix: str = "") -> str:
+    """SQL: one column for each name, an aggregate of the rows whose key it is."""
+    return ", ".join(re.sub(r"(avg|max)\(([^()]*)\)", rf"\1(\2) FILTER ({key} = '{n}')", value) + f' AS "{prefix}{n}"' for n in names)
+
+
+def _names(table: DataFrame, column: str) -> list[str]:
+    """Samples, conditions or contrasts of an experiment."""
+    return sorted(r[0] for r in table.select(column).distinct().collect())
+
+
 # Flagship ---------------------------------------------------------------------------------------
 
 
@@ -80,9 +99,10 @@ def p2(spark, sf_dir):
     return rounded(reshape.unpivot_runs(wide, names), "SIGNAL").select("INDEX", "FILENAME", "SIGNAL")
 
 
-@query("p7_pivot_layer", "SELECT \"INDEX\", round(max(raw) FILTER (Sample = 'FRANCE'), 6) AS FRANCE, round(max(raw) FILTER (Sample = 'CHINA'), 6) AS CHINA, round(max(raw) FILTER (Sample = 'PERU'), 6) AS PERU FROM cells GROUP BY ALL")
+@query("p7_pivot_layer", f'SELECT "INDEX", {_filtered("round(max(raw), 6)", "Sample", SAMPLES)} FROM cells GROUP BY ALL')
 def p7(spark, sf_dir):
-    return rounded(reshape.pivot_cells(fx.cells(spark, sf_dir), "raw", ["FRANCE", "CHINA", "PERU"]), "FRANCE", "CHINA", "PERU")
+    names = _names(fx.samples(spark, sf_dir), "Sample")
+    return rounded(reshape.pivot_cells(fx.cells(spark, sf_dir), "raw", names), *names)
 
 
 @query("p9_complete_grid", 'SELECT "INDEX", Sample, round(raw, 6) AS raw FROM grid')
@@ -345,25 +365,28 @@ def a32(spark, sf_dir):
     return rounded(quality.feature_profile(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir), "17", ["raw", "v"]), "raw", "v")
 
 
-@query("s11_consistency_table", """, cc AS (""" + _CONSISTENT.format(k=_PEP) + """) SELECT f."INDEX", f.brand, coalesce(max(cc.n) FILTER (cc.CONDITION = 'ASIA'), 0) AS CONSISTENT_PEPTIDE_ASIA, coalesce(max(cc.n) FILTER (cc.CONDITION = 'EUROPE'), 0) AS CONSISTENT_PEPTIDE_EUROPE
+@query("s11_consistency_table", ", cc AS (" + _CONSISTENT.format(k=_PEP) + """) SELECT f."INDEX", f.brand, """ + _filtered("coalesce(max(cc.n), 0)", "cc.CONDITION", CONDITIONS, "CONSISTENT_PEPTIDE_") + """
 FROM (SELECT "INDEX", min(FASTA_HEADERS) AS brand FROM kept GROUP BY ALL) f LEFT JOIN cc ON cc."INDEX" = f."INDEX" GROUP BY f."INDEX", f.brand""")
 def s11(spark, sf_dir):
     kept = fx.kept(spark, sf_dir)
     features = kept.groupBy("INDEX").agg(F.min("FASTA_HEADERS").alias("brand"))
-    return sinks.consistency_table(features, quality.consistent(rollup.peptide_cells(kept), fx.samples(spark, sf_dir), "PEPTIDE_ID"), ["ASIA", "EUROPE"])
+    return sinks.consistency_table(features, quality.consistent(rollup.peptide_cells(kept), fx.samples(spark, sf_dir), "PEPTIDE_ID"), _names(fx.samples(spark, sf_dir), "CONDITION"))
 
 
-@query("s12_identification", "SELECT \"INDEX\", round(avg(QVALUE) FILTER (FILENAME = 'CHINA'), 6) AS CHINA, round(avg(QVALUE) FILTER (FILENAME = 'PERU'), 6) AS PERU FROM kept GROUP BY ALL")
+@query("s12_identification", " UNION ALL ".join(f"""SELECT '{layer}' AS layer, "INDEX", {_filtered(f"round(CAST({value} AS DOUBLE) + 1e-8, 6)", "FILENAME", SAMPLES)} FROM kept GROUP BY ALL""" for layer, value in (("qvalue", "avg(QVALUE)"), ("pep", "avg(PEP)"), ("spectral_counts", "max(SPECTRAL_COUNTS)"), ("ibaq", "avg(ibaq)"))))
 def s12(spark, sf_dir):
-    return rounded(sinks.identification_tables(rollup.evidence_cells(fx.kept(spark, sf_dir)), ["CHINA", "PERU"])["qvalue"], "CHINA", "PERU")
+    names = _names(fx.samples(spark, sf_dir), "Sample")
+    layers = sinks.identification_tables(rollup.evidence_cells(fx.kept(spark, sf_dir)), names)
+    return reduce(DataFrame.unionByName, (rounded(df.withColumns({n: F.col(n).cast("double") for n in names}), *names, nudge=1e-8).withColumn("layer", F.lit(x)) for x, df in layers.items()))
 
 
-@query("p12_summary", """SELECT f."INDEX", f.brand, round(max(st.log2fc) FILTER (contrast = 'AFRICA_vs_ASIA'), 6) AS LOG2FC_AFRICA_vs_ASIA, round(max(st.t) FILTER (contrast = 'AFRICA_vs_ASIA'), 6) AS T_AFRICA_vs_ASIA
-FROM (SELECT "INDEX", min(FASTA_HEADERS) AS brand FROM kept GROUP BY ALL) f LEFT JOIN st ON st."INDEX" = f."INDEX" GROUP BY f."INDEX", f.brand""")
+@query("p12_summary", f"""SELECT f."INDEX", f.brand, {", ".join(_filtered(f"round(max(pv.{v}), 6)", "contrast", CONTRASTS, v.upper() + "_") for v in ("log2fc", "t", "p"))}
+FROM (SELECT "INDEX", min(FASTA_HEADERS) AS brand FROM kept GROUP BY ALL) f LEFT JOIN pv ON pv."INDEX" = f."INDEX" GROUP BY f."INDEX", f.brand""")
 def p12(spark, sf_dir):
     stats = differential.contrast_stats(processed(spark, sf_dir), fx.samples(spark, sf_dir), fx.contrasts(spark, sf_dir))
     features = fx.kept(spark, sf_dir).groupBy("INDEX").agg(F.min("FASTA_HEADERS").alias("brand"))
-    return rounded(sinks.summary_table(features, stats, ["AFRICA_vs_ASIA"], ("log2fc", "t")), "LOG2FC_AFRICA_vs_ASIA", "T_AFRICA_vs_ASIA")
+    out = sinks.summary_table(features, stats, _names(fx.contrasts(spark, sf_dir), "contrast"), ("log2fc", "t", "p"))
+    return rounded(out, *(c for c in out.columns if c not in ("INDEX", "brand")))
 
 
 # Normalization ----------------------------------------------------------------------------------
@@ -637,14 +660,14 @@ def c8p(spark, sf_dir):
 
 def _sequences(spark, sf_dir) -> DataFrame:
     """Modified sequences made of document letters."""
-    s = F.upper(F.regexp_replace(F.substring("text", 1, 60), "[^A-Za-z]", ""))
+    s = F.upper(F.regexp_replace(F.col("text"), "[^A-Za-z]", ""))
     k = F.col("doc_id") % 5
     made = F.when(k == 0, F.concat(F.lit("_"), s, F.lit("_"))).when(k == 1, F.concat(F.lit("_n[42.0106]"), s, F.lit("c[-0.9840]_"))).when(k == 2, F.concat(s, F.lit("M[Oxidation (M)]K"))).when(k == 3, F.concat(s, F.lit("C[57.0215]R"))).otherwise(F.concat(s, F.lit("M[15.9949]S[79.9663]")))
     return fx.read(spark, sf_dir, "documents").select("doc_id", made.alias("seq"))
 
 
 _SEQ = """, sq AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '_' || s || '_' WHEN 1 THEN '_n[42.0106]' || s || 'c[-0.9840]_' WHEN 2 THEN s || 'M[Oxidation (M)]K' WHEN 3 THEN s || 'C[57.0215]R' ELSE s || 'M[15.9949]S[79.9663]' END AS seq
-FROM (SELECT doc_id, upper(regexp_replace(substr(text, 1, 60), '[^A-Za-z]', '', 'g')) AS s FROM documents))"""
+FROM (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents))"""
 
 
 @query("e3_strip_modifications", _SEQ + r" SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(seq, '^_+|_+$', '', 'g'), '^n\[[^\]]*\]([A-Z])', '\1'), 'c\[[^\]]*\]$', ''), '\[[^\]]+\]|[()]', '', 'g') AS stripped FROM sq")
