@@ -42,7 +42,10 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return h
 
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Log gamma, once for each distinct value: a batch has few distinct degrees of freedom."""
+    values, back = np.unique(x, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values])[back]
 
 
 def t_tail(t: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -58,7 +61,9 @@ def t_tail(t: np.ndarray, df: np.ndarray) -> np.ndarray:
         x = df[ok] / (df[ok] + t[ok] ** 2)
         front = np.exp(_lgamma(a + b) - _lgamma(a) - _lgamma(b) + a * np.log(np.maximum(x, 1e-300)) + b * np.log(np.maximum(1 - x, 1e-300)))
         left = x < (a + 1) / (a + b + 2)
-        value = np.where(left, front * _beta_fraction(a, b, x) / a, 1 - front * _beta_fraction(b, a, 1 - x) / b)
+        value = np.empty_like(x)  # each side by the fraction that converges fast there
+        value[left] = front[left] * _beta_fraction(a[left], b[left], x[left]) / a[left]
+        value[~left] = 1 - front[~left] * _beta_fraction(b[~left], a[~left], 1 - x[~left]) / b[~left]
         out[ok] = np.clip(value, 0, 1)
     out[np.isinf(t) & (df > 0)] = 0.0
     return out

@@ -175,7 +175,7 @@ def covariate_slopes(cells: DataFrame, value: str = "v", covariate: str = "c", m
     at = at.withColumn("t", F.when(F.col("flat"), 0.0).otherwise(F.col("b1") / F.when(se > 0, se)))
     at = at.withColumn("p", F.when(F.col("flat"), 1.0).otherwise(t_pvalue(F.col("t"), (F.col("n") - 2).cast("double"))))
     slope = {"fixed1": F.when(F.col("flat"), 0.0).otherwise(1.0), "nonneg": F.greatest("b1", F.lit(0.0)), "free": F.col("b1")}[mode]
-    return bh(at.withColumn("slope", slope).withColumn("contrast", F.lit("slope")), "p", "q").select("INDEX", "b0", "b1", "t", "p", "q", "slope")
+    return bh_large(at.withColumn("slope", slope).withColumn("contrast", F.lit("slope")), "p", "q").select("INDEX", "b0", "b1", "t", "p", "q", "slope")
 
 
 def adjusted(cells: DataFrame, slopes: DataFrame, value: str = "v", covariate: str = "c", out: str = "adjusted") -> DataFrame:

@@ -745,15 +745,11 @@ def a19(spark, sf_dir):
 
 @query("w4_first_sample", 'SELECT "INDEX", CONDITION, round(arg_min(v, Sample), 6) AS ref FROM grid WHERE v IS NOT NULL GROUP BY ALL')
 def w4(spark, sf_dir):
-    at = fx.logged(spark, sf_dir).filter("v IS NOT NULL").join(fx.samples(spark, sf_dir).select("Sample", "CONDITION"), "Sample")
-    return rounded(at.groupBy("INDEX", "CONDITION").agg(F.min_by("v", "Sample").alias("ref")), "ref")
+    samples = fx.samples(spark, sf_dir)
+    at = normalize.reference_values(fx.logged(spark, sf_dir).filter("v IS NOT NULL"), samples, "local")
+    return rounded(at.join(samples.select("Sample", "CONDITION"), "Sample").select("INDEX", "CONDITION", "ref").distinct(), "ref")
 
 
 @query("w9_nearest_samples", _NEAR + " SELECT src, dst, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM dd) WHERE r <= 6")
 def w9(spark, sf_dir):
     return impute.nearest(impute.sample_distances(fx.logged(spark, sf_dir)), 6).select("src", "dst", "rank")
-
-
-def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flagship_differential(spark, sf_dir)
-
