@@ -15,9 +15,12 @@ _local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where that is unset a temporary one, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("a cluster needs spark.checkpoint.dir: a folder that all executors share")
         app = spark.sparkContext.applicationId
         root = _local_roots.setdefault(app, "file://" + tempfile.mkdtemp(prefix="spark-"))
     return root.rstrip("/")

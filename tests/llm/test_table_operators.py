@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tests.llm import frames
 
-from quantspark.llm import chat, jaccard, sharding, topk
+from quantspark.llm import chat, common, jaccard, sharding, topk
 from quantspark.llm.components import components
 
 
@@ -125,3 +125,14 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (200, 201)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 200: 200, 201: 200}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+    assert common.shared_root(Session(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    for master in ("yarn", "local-cluster[2,1,1000]", "spark://h:7077"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            common.shared_root(Session(spark_master=master))
