@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -74,3 +75,10 @@ def col(name: str) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def meet(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of equal names, where null is a value like any other; each name is kept once, from ``a``."""
+    b = b.select(*[col(c).alias(f"_other_{c}") if c in on else col(c) for c in b.columns])
+    same = functools.reduce(lambda x, y: x & y, [col(c).eqNullSafe(col(f"_other_{c}")) for c in on])
+    return a.join(b, same, how).drop(*[f"_other_{c}" for c in on])
