@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantspark.llm.common import col, meet, slices, small_batches, staged
@@ -194,14 +195,6 @@ def _print_udf(ranks: list[list[int]]):
     return prints
 
 
-def _likeness_udf():
-    @F.arrow_udf("double")
-    def like(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([likeness(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
-
-    return like
-
-
 def fingerprinted(df: DataFrame, ranks: list[list[int]], text_col: str = "text", out: str = "fingerprint") -> DataFrame:
     """Add each text's fingerprint; all other columns stay. Null text: as the empty one, ``0:``. Equal texts have equal
     fingerprints under equal ``ranks``, which belong to the fingerprints and are kept with them. A text is read whole,
@@ -210,14 +203,14 @@ def fingerprinted(df: DataFrame, ranks: list[list[int]], text_col: str = "text",
     return df.withColumn(out, _print_udf(ranks)(F.coalesce(col(text_col).cast("string"), F.lit(""))))
 
 
-def successors(df: DataFrame, id_col: str = "id", digest_col: str = "digest", need_col: str = "need") -> DataFrame:
-    """For each id the one that comes next by descending id, nulls last, after the last the first: id and digest (of the
-    row that stands for it), for_id (whom it follows) and need (the most that any row of for_id needs).
+def successors(df: DataFrame, id_col: str = "id", digest_col: str = "digest") -> DataFrame:
+    """For each id the one that comes next by descending id, nulls last, after the last the first: id, digest (of the row
+    that stands for it), n (its rows), for_id (whom it follows) and wraps (whether it is the first, which follows the last).
 
     Rows that share an id are one place in the order, for which the one with the least digest stands. Ids are sorted
     over all tasks and numbered by the counts of the sorted parts, which alone reach the driver.
     """
-    ids = df.groupBy(F.col(id_col).alias("id")).agg(F.min(digest_col).alias("digest"), F.max(need_col).alias("need"))
+    ids = df.groupBy(F.col(id_col).alias("id")).agg(F.min(digest_col).alias("digest"), F.count(F.lit(1)).alias("n"))
     ordered = staged(ids.orderBy(F.desc_nulls_last("id")).withColumn("pos", F.monotonically_increasing_id()), "ids").withColumn("part", F.shiftright("pos", 33))
     sizes = sorted(tuple(r) for r in ordered.groupBy("part").count().collect())
     starts = [sum(n for _, n in sizes[:i]) for i in range(len(sizes))]
@@ -225,38 +218,84 @@ def successors(df: DataFrame, id_col: str = "id", digest_col: str = "digest", ne
     total = max(1, sum(n for _, n in sizes))
     # one row a sorted part, whatever the input
     numbered = ordered.join(F.broadcast(offsets), "part").withColumn("row", F.col("start") + F.col("pos").bitwiseAND((1 << 33) - 1))
-    follows = numbered.select(((F.col("row") + 1) % total).alias("row"), F.col("id").alias("for_id"), "need")
-    return numbered.select("row", "id", "digest").join(follows, "row").drop("row")
+    follows = numbered.select(((F.col("row") + 1) % total).alias("row"), F.col("id").alias("for_id"))
+    return numbered.select("row", "id", "digest", "n").join(follows, "row").select("id", "digest", "n", "for_id", (F.col("row") == 0).alias("wraps"))
+
+
+PRINTS = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: list[list[int]] | None = None) -> DataFrame:
+def _in_order(ranks: list[list[int]]):
+    """Rows sorted against the order of documents, so that a document's successor has passed by before it: only one
+    successor is held, however many rows share an id."""
+    table = [np.array(r, np.int64) for r in ranks]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, last, following = None, None, None  # (bucket, leads, id), its last row, the successor: each row as (text, fingerprint)
+        for batch in batches:
+            for part in slices(batch, SLICE):
+                texts = part.column("text")
+                plain, own = texts.to_pylist(), fingerprint(texts, table)
+                rows = []
+                for i, (bucket, leads, ident, ghost) in enumerate(zip(*(part.column(c).to_pylist() for c in ("bucket", "leads", "id", "ghost")), strict=True)):
+                    if place is None or (bucket, leads, ident) != place:
+                        following = last if place is not None and bucket == place[0] else None
+                        place = bucket, leads, ident
+                    last = plain[i], own[i]
+                    if not ghost:
+                        text, n = plain[i], len(plain[i])
+                        rows.append((ident, i, text[: n - n // 3] + following[0][: n // 3], following[1]))
+                if not rows:
+                    continue
+                edited = pa.array([r[2] for r in rows], pa.string())
+                after = fingerprint(edited, table)
+                out = [
+                    [r[0] for r in rows], [len(plain[r[1]]) for r in rows], [hashlib.sha256(r[2].encode()).hexdigest() for r in rows], [own[r[1]] for r in rows], after,
+                    [likeness(own[r[1]], e) for r, e in zip(rows, after, strict=True)], [likeness(own[r[1]], r[3]) for r in rows],
+                ]
+                names, types = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"], [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
+
+    return run
+
+
+def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: list[list[int]] | None = None, large: int = 10_000) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how like both and the next document are to it.
 
     Edited: the last third of a text's code points (floor) replaced by the first as many of the next document's, by
     descending id. Returns id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, one
     row for each input row. ``ranks`` (``rarity``) are counted over all texts unless given.
-    Only heads of texts (two thirds), the thirds that go to the document before, and fingerprints are shuffled.
+    Texts are shuffled once, into ranges of ids; a row that comes next in another range is copied into this one. An
+    id with more than ``large`` rows, and more than two ranges' share, is dealt over ranges of its own, each with its
+    successor. Four ranges a shuffle partition; their bounds, and the copied rows' keys (at most a few a range), are
+    all that the driver and the broadcasts hold.
     Null text: empty; null id: after all others; rows of one id are one place (``successors``); a single document is
     its own next. Repeated rows are repeated. Very long texts: whole, see ``fingerprinted``. Empty table: no rows.
     """
-    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    docs = df.select(col(id_col).cast("long").alias("id"), text.alias("text"))
-    prints = _print_udf(rarity(docs) if ranks is None else ranks)
-    n = F.length("text")
-    third = F.expr("length(text) div 3").cast("int")
-    digest = F.unhex(F.sha2("text", 256))
-    order = successors(docs.select("id", digest.alias("digest"), third.alias("need")))
-    own = docs.select("id", n.cast("long").alias("n_chars"), F.substring("text", F.lit(1), n - third).alias("head"), third.alias("need"), prints("text").alias("fingerprint"))
-    given = meet(docs.withColumn("digest", digest), order, ["id", "digest"])
-    given = given.select(F.col("for_id").alias("id"), F.substring("text", F.lit(1), F.col("need")).alias("tail"), prints("text").alias("next_print"))
-    given = given.groupBy("id").agg(F.any_value("tail").alias("tail"), F.any_value("next_print").alias("next_print"))  # equal rows under one id
-    both = meet(own, given, ["id"], "left").withColumn("edited", F.concat("head", F.substring("tail", F.lit(1), F.col("need"))))
-    both = both.withColumns({"edited_sha256": F.sha2("edited", 256), "edited_fingerprint": prints("edited")})
-    like = _likeness_udf()
-    return both.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        like("fingerprint", "edited_fingerprint").alias("near_edited"), like("fingerprint", "next_print").alias("near_next"),
-    )
+    spark = df.sparkSession
+    small_batches(spark)
+    docs = df.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+    ranks = rarity(docs) if ranks is None else ranks
+    docs = docs.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    order = staged(successors(docs.select("id", "digest")), "order")
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total, bounds = docs.agg(F.count(F.lit(1)), F.percentile_approx("id", [i / ranges for i in range(1, ranges)])).first()
+    bounds = F.array(*[F.lit(b) for b in sorted(set(bounds or []), reverse=True)]).cast("array<long>")
+    range_of = lambda c: F.when(c.isNull(), ranges).otherwise(F.size(F.filter(bounds, lambda b: b > c))).cast("long")
+    share = max(large, 2 * total // ranges)
+    hot = order.filter(F.col("n") > share).select("id", F.ceil(F.col("n") / share).alias("deals"), (F.lit(ranges + 1) + F.col("id").isNull().cast("long") + F.dense_rank().over(Window.orderBy("id")) * (1 << 20)).alias("base"))
+    hot = staged(hot, "hot-ids")  # each has more than a range's rows, so there are fewer than ranges
+    # copies of rows that come next elsewhere: (id, digest) -> range, and whether the row leads it
+    led = meet(order.select("id", "digest", F.col("for_id"), "wraps"), F.broadcast(hot.withColumnRenamed("id", "for_id")), ["for_id"], "left")
+    own = led.filter(F.col("deals").isNull() & (F.col("wraps") | (range_of(F.col("id")) != range_of(F.col("for_id"))))).select("id", "digest", range_of(F.col("for_id")).alias("bucket"), F.lit(True).alias("leads"))
+    dealt = led.filter(F.col("deals").isNotNull()).select("id", "digest", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1), lambda i: F.col("base") + i)).alias("bucket"), F.lit(True).alias("leads"))
+    stand = meet(order, F.broadcast(hot.select("id")), ["id"], "left_semi").select("id", "digest", range_of(F.col("id")).alias("bucket"), F.lit(False).alias("leads"))
+    copies = staged(own.unionByName(dealt).unionByName(stand), "copied-keys")
+    ghosts = meet(docs, F.broadcast(copies), ["id", "digest"]).withColumn("ghost", F.lit(True))
+    salt = F.pmod(F.xxhash64("digest", F.monotonically_increasing_id()), F.col("deals"))
+    rows = meet(docs, F.broadcast(hot), ["id"], "left").withColumn("bucket", F.coalesce(F.col("base") + salt, range_of(F.col("id")))).select("id", "text", "digest", "bucket", F.lit(False).alias("leads"), F.lit(False).alias("ghost"))
+    dealt_out = rows.unionByName(ghosts).repartition("bucket").sortWithinPartitions("bucket", F.desc("leads"), F.asc_nulls_first("id"), F.desc("digest"))
+    return dealt_out.select("bucket", "leads", "id", "ghost", "text").mapInArrow(_in_order(ranks), PRINTS).withColumnRenamed("id", id_col)
 
 
 def op13_document_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -217,6 +217,17 @@ def test_fingerprints(spark):
     assert prints.document_fingerprints(frames.nothing(spark)).count() == 0
 
 
+def test_hot_ids_are_dealt_and_keep_their_successor(spark):
+    words = frames.texts(120, seed=8)
+    rows = [(i, t) for i, t in enumerate(words[:30])] + [(12, t) for t in words[30:75]] + [(None, t) for t in words[75:]] + [(12, words[40])] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = prints.document_fingerprints(df, large=10).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == edited_by_hand(rows)
+    assert all(r.near_next is not None for r in got)
+    plain = prints.document_fingerprints(df).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, plain))
+
+
 def test_single_document_is_its_own_next(spark):
     text = frames.texts(1)[0]
     [r] = prints.document_fingerprints(spark.createDataFrame([(7, text, "clash", 1, 2)], "doc_id long, text string, fingerprint string, need int, pos int")).collect()
