@@ -77,7 +77,11 @@ def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
 
 def noise(*keys: str, seed: int = 42) -> Column:
     """Standard normal noise that depends on the keys and the seed alone, not on partitions (Box-Muller of two hashes)."""
-    unit = lambda salt: (F.pmod(F.xxhash64(*(F.col(k) for k in keys), F.lit(seed), F.lit(salt)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+
+    def unit(salt: int) -> Column:
+        digest = F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed)), F.lit(str(salt))))
+        return (F.conv(F.substring(digest, 1, 10), 16, 10).cast("long") + 0.5) / float(1 << 40)
+
     return F.sqrt(-2 * F.ln(unit(1))) * F.cos(2 * math.pi * unit(2))
 
 

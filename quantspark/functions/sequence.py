@@ -79,6 +79,11 @@ def missed_cleavage(c: Column) -> Column:
     return F.when(F.length(letters) >= 2, letters.rlike("[KR][A-OQ-Z]"))
 
 
+def first_part(c: Column) -> Column:
+    """What stands before the first bar of a key; the whole of one without a bar."""
+    return F.substring_index(c, "|", 1)
+
+
 def first_double(c: Column) -> Column:
     """First token of a ;-list as a number; null where it is none."""
     return F.trim(F.get(F.split(c.cast("string"), ";"), F.lit(0))).try_cast("double")

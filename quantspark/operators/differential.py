@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from quantspark.functions.numeric import digamma, inverse_trigamma, t_pvalue, trigamma
+from quantspark.operators.quantiles import quantiles
+from quantspark.sources.scratch import stored
 
 
 def contrast_pairs(levels: list[str], only_contrasts: list[str] | None = None, only_against: str | None = None) -> list[tuple[str, str, str]]:
@@ -44,49 +46,60 @@ def group_fit(cells: DataFrame, samples: DataFrame, value: str = "v") -> tuple[D
     return groups, pooled
 
 
-def contrast_stats(cells: DataFrame, samples: DataFrame, contrasts: DataFrame, value: str = "v") -> DataFrame:
-    """INDEX, contrast, log2fc, s2, df, se, t, p from group means; null se, t and p without degrees of freedom or variance."""
-    groups, pooled = group_fit(cells, samples, value)
-    a = groups.select("INDEX", F.col("CONDITION").alias("A"), F.col("mean").alias("mean_a"), F.col("n").alias("n_a"))
-    b = groups.select("INDEX", F.col("CONDITION").alias("B"), F.col("mean").alias("mean_b"), F.col("n").alias("n_b"))
+def contrasts_of(groups: DataFrame, pooled: DataFrame, contrasts: DataFrame, key: tuple[str, ...] = ("INDEX",)) -> DataFrame:
+    """``key``, contrast, A, B, log2fc, s2, df, factor, se, t, p from groups (``key``, CONDITION, mean, n) and their pooled variance."""
+    a = groups.select(*key, F.col("CONDITION").alias("A"), F.col("mean").alias("mean_a"), F.col("n").alias("n_a"))
+    b = groups.select(*key, F.col("CONDITION").alias("B"), F.col("mean").alias("mean_b"), F.col("n").alias("n_b"))
     # one row for each pair of conditions
-    both = a.join(F.broadcast(contrasts), "A").join(b, ["INDEX", "B"]).join(pooled, "INDEX")
-    out = both.select("INDEX", "contrast", (F.col("mean_a") - F.col("mean_b")).alias("log2fc"), "s2", "df", F.sqrt(1 / F.col("n_a") + 1 / F.col("n_b")).alias("factor"))
+    both = a.join(F.broadcast(contrasts), "A").join(b, [*key, "B"]).join(pooled, [*key])
+    out = both.select(*key, "contrast", "A", "B", (F.col("mean_a") - F.col("mean_b")).alias("log2fc"), "s2", "df", F.sqrt(1 / F.col("n_a") + 1 / F.col("n_b")).alias("factor"))
     se = F.sqrt("s2") * F.col("factor")
     out = out.withColumn("se", F.when((se > 0) & (F.col("df") > 0), se)).withColumn("t", F.col("log2fc") / F.col("se"))
     return out.withColumn("p", t_pvalue(F.col("t"), F.col("df").cast("double")))
 
 
-def moderation(pooled: DataFrame) -> tuple[float, float]:
-    """Prior degrees of freedom and variance from the distribution of log s2 (Smyth 2004); infinite where it isn't wider than chance.
+def contrast_stats(cells: DataFrame, samples: DataFrame, contrasts: DataFrame, value: str = "v") -> DataFrame:
+    """INDEX, contrast, log2fc, s2, df, se, t, p from group means; null se, t and p without degrees of freedom or variance."""
+    return contrasts_of(*group_fit(cells, samples, value), contrasts).drop("A", "B")
+
+
+def priors(pooled: DataFrame, by: list[str]) -> list[Row]:
+    """``by``, d0, s0: prior degrees of freedom and variance of each kind of fit, from the distribution of its log s2
+    (Smyth 2004); infinite where that isn't wider than chance.
 
-    Two numbers come from one aggregation over all features; variances are floored at 1e-5 times their median.
+    One aggregation over all features gives a row for each kind and number of degrees of freedom; variances are floored at 1e-5 times their median.
     """
     ok = pooled.filter("df > 0 AND s2 IS NOT NULL")
-    floor = ok.agg(F.median("s2")).first()[0]
-    if floor is None:
-        return math.inf, 1.0
-    kinds = ok.groupBy("df").agg(F.count(F.lit(1)).alias("n"), F.sum(F.ln(F.greatest("s2", F.lit(floor * 1e-5)))).alias("e"), F.sum(F.pow(F.ln(F.greatest("s2", F.lit(floor * 1e-5))), 2)).alias("ee")).collect()  # a row for each number of degrees of freedom
-    n = sum(r["n"] for r in kinds)
-    shift = {r["df"]: math.log(r["df"] / 2) - digamma(r["df"] / 2) for r in kinds}
-    total = sum(r["e"] + r["n"] * shift[r["df"]] for r in kinds)
-    squares = sum(r["ee"] + 2 * r["e"] * shift[r["df"]] + r["n"] * shift[r["df"]] ** 2 for r in kinds)
-    mean = total / n
-    var = (squares - n * mean**2) / max(n - 1, 1) - sum(r["n"] * trigamma(r["df"] / 2) for r in kinds) / n
-    if var <= 0:
-        return math.inf, math.exp(mean)
-    d0 = 2 * inverse_trigamma(var)
-    return d0, math.exp(mean + digamma(d0 / 2) - math.log(d0 / 2))
-
-
-def moderated(stats: DataFrame, d0: float, s0: float) -> DataFrame:
-    """Add s2_post, t_mod and p_mod. Total degrees of freedom are at most those of all features together."""
-    together = stats.select("INDEX", "df").distinct().agg(F.sum("df").alias("_all"))
-    at = stats.join(F.broadcast(together), how="cross")  # one row
-    post = F.lit(s0) if math.isinf(d0) else (d0 * s0 + F.col("df") * F.col("s2")) / (d0 + F.col("df"))
-    total = F.least(F.lit(d0) + F.col("df"), F.col("_all")).cast("double")
+    floor = quantiles(ok, by, "s2", _floor=0.5)
+    at = (ok.join(F.broadcast(floor), by) if by else ok.join(F.broadcast(floor), how="cross")).withColumn("_log", F.ln(F.greatest("s2", F.col("_floor") * 1e-5)))  # a row a kind
+    sums = at.groupBy(*by, "df").agg(F.count(F.lit(1)).alias("n"), F.sum("_log").alias("e"), F.sum(F.col("_log") * F.col("_log")).alias("ee")).collect()
+    out = []
+    for kind in sorted({tuple(r[c] for c in by) for r in sums}):
+        kinds = [r for r in sums if tuple(r[c] for c in by) == kind]
+        n = sum(r["n"] for r in kinds)
+        shift = {r["df"]: math.log(r["df"] / 2) - digamma(r["df"] / 2) for r in kinds}
+        mean = sum(r["e"] + r["n"] * shift[r["df"]] for r in kinds) / n
+        squares = sum(r["ee"] + 2 * r["e"] * shift[r["df"]] + r["n"] * shift[r["df"]] ** 2 for r in kinds)
+        var = (squares - n * mean**2) / max(n - 1, 1) - sum(r["n"] * trigamma(r["df"] / 2) for r in kinds) / n
+        d0 = 2 * inverse_trigamma(var) if var > 0 else math.inf
+        s0 = math.exp(mean + digamma(d0 / 2) - math.log(d0 / 2)) if var > 0 else math.exp(mean)
+        out.append(Row(**dict(zip(by, kind, strict=True)), d0=d0, s0=s0))
+    return out
+
+
+def moderation(pooled: DataFrame) -> tuple[float, float]:
+    """``priors`` of one kind of fit; (infinite, 1) without any."""
+    return next(((r["d0"], r["s0"]) for r in priors(pooled, [])), (math.inf, 1.0))
+
+
+def moderated(stats: DataFrame, d0: float | Column, s0: float | Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add s2_post, se_mod, t_mod and p_mod. Total degrees of freedom are at most those of all features (of a kind) together."""
+    d0, s0 = (x if isinstance(x, Column) else F.lit(x) for x in (d0, s0))
+    together = stats.select("INDEX", *by, "df").distinct().groupBy(*by).agg(F.sum("df").alias("_all"))
+    at = stats.join(F.broadcast(together), list(by)) if by else stats.join(F.broadcast(together), how="cross")  # a row a kind
+    post = F.when(d0 == float("inf"), s0).otherwise((d0 * s0 + F.col("df") * F.col("s2")) / (d0 + F.col("df")))
     se = F.sqrt("s2_post") * F.col("factor")
-    out = at.withColumn("s2_post", post).withColumn("t_mod", F.col("log2fc") / F.when(se > 0, se)).withColumn("df_total", total)
+    out = at.withColumn("s2_post", post).withColumn("se_mod", F.when(se > 0, se)).withColumn("t_mod", F.col("log2fc") / F.col("se_mod")).withColumn("df_total", F.least(d0 + F.col("df"), F.col("_all")).cast("double"))
     return out.withColumn("p_mod", t_pvalue(F.col("t_mod"), F.col("df_total"))).drop("_all")
 
 
@@ -99,24 +112,24 @@ def bh(stats: DataFrame, p: str = "p", out: str = "q", by: tuple[str, ...] = ("c
     return at.withColumn(out, F.when(ok, F.least(F.lit(1.0), low))).drop("_share")
 
 
-def bh_large(stats: DataFrame, p: str = "p", out: str = "q", bins: int = 100_000) -> DataFrame:
+def bh_large(stats: DataFrame, p: str = "p", out: str = "q", bins: int = 100_000, by: tuple[str, ...] = ("contrast",)) -> DataFrame:
     """The same for contrasts with very many features: no window holds more than one bin of p-values.
 
     Counts of each (contrast, bin) give ranks of a bin's first p; minima of bins above give the running minimum.
     """
-    keyed = stats.withColumn("_bin", F.least(F.floor(F.col(p) * bins), F.lit(bins - 1)))
+    keyed = stored(stats.withColumn("_bin", F.least(F.floor(F.col(p) * bins), F.lit(bins - 1))), "p-values")  # read several times
     known = keyed.filter(F.col(p).isNotNull())
-    sizes = known.groupBy("contrast", "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    up = Window.partitionBy("contrast").orderBy("_bin")
-    sizes = sizes.withColumn("_below", F.sum("_n").over(up) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy("contrast")))
-    inside = Window.partitionBy("contrast", "_bin").orderBy(p)
-    at = known.join(sizes, ["contrast", "_bin"]).withColumn("_share", F.col(p) * F.col("_all") / (F.col("_below") + F.count(F.lit(1)).over(inside)))
-    lows = at.groupBy("contrast", "_bin").agg(F.min("_share").alias("_low"))
-    above = Window.partitionBy("contrast").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    lows = lows.withColumn("_later", F.min("_low").over(above)).select("contrast", "_bin", "_later")
-    own = F.min("_share").over(Window.partitionBy("contrast", "_bin").orderBy(F.desc(p)))
-    done = at.join(lows, ["contrast", "_bin"]).withColumn(out, F.least(F.lit(1.0), own, F.col("_later")))
-    return done.select(*stats.columns, out).unionByName(stats.filter(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
+    sizes = known.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    up = Window.partitionBy(*by).orderBy("_bin")
+    sizes = sizes.withColumn("_below", F.sum("_n").over(up) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
+    inside = Window.partitionBy(*by, "_bin").orderBy(p)
+    at = known.join(sizes, [*by, "_bin"]).withColumn("_share", F.col(p) * F.col("_all") / (F.col("_below") + F.count(F.lit(1)).over(inside)))
+    lows = at.groupBy(*by, "_bin").agg(F.min("_share").alias("_low"))
+    above = Window.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    lows = lows.withColumn("_later", F.min("_low").over(above)).select(*by, "_bin", "_later")
+    own = F.min("_share").over(Window.partitionBy(*by, "_bin").orderBy(F.desc(p)))
+    done = at.join(lows, [*by, "_bin"]).withColumn(out, F.least(F.lit(1.0), own, F.col("_later")))
+    return done.select(*stats.columns, out).unionByName(keyed.filter(F.col(p).isNull()).drop("_bin").withColumn(out, F.lit(None).cast("double")))
 
 
 def missing_mask(observed: DataFrame, contrasts: DataFrame) -> DataFrame:
@@ -144,61 +157,16 @@ def is_pilot(samples: DataFrame) -> bool:
 
 def differential(cells: DataFrame, samples: DataFrame, contrasts: DataFrame, observed: DataFrame | None = None, value: str = "v") -> DataFrame:
     """Statistics of every feature and contrast, moderated, corrected and masked; fold changes alone in a pilot."""
-    stats = contrast_stats(cells, samples, contrasts, value)
+    groups, pooled = group_fit(cells, samples, value)
+    pooled = pooled.persist()  # read for the prior and for every contrast
+    stats = contrasts_of(groups, pooled, contrasts).drop("A", "B")
     if is_pilot(samples):
         return stats.select("INDEX", "contrast", "log2fc")
-    d0, s0 = moderation(group_fit(cells, samples, value)[1])
-    stats = moderated(stats, d0, s0)
+    stats = moderated(stats, *moderation(pooled))
     mask = missing_mask(observed, contrasts) if observed is not None else stats.select("INDEX", "contrast", F.lit(False).alias("masked"))
     return neutralized(stats, mask, ("p", "p_mod"), ("t", "t_mod"))
 
 
-def covariate_slopes(cells: DataFrame, value: str = "v", covariate: str = "c", mode: str = "fixed1") -> DataFrame:
-    """INDEX, b0, b1, t, p, q, slope: least squares of value on the row-centred covariate, with a small ridge.
-
-    Flat covariates have slope 0, t 0 and p 1. ``slope`` is what is subtracted: 1 (fixed1), b1 if positive (nonneg), or b1 (free).
-    """
-    if mode not in ("fixed1", "nonneg", "free"):
-        raise ValueError("mode is fixed1, nonneg or free")
-    ok = cells.filter(F.col(value).isNotNull() & F.col(covariate).isNotNull())
-    c = F.col(covariate) - F.avg(covariate).over(Window.partitionBy("INDEX"))
-    at = ok.withColumn("_c", c).withColumn("_y", F.col(value) - F.avg(value).over(Window.partitionBy("INDEX")))
-    own = at.groupBy("INDEX").agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("b0"), F.sum(F.col("_c") * F.col("_y")).alias("cy"), F.sum(F.col("_c") * F.col("_c")).alias("cc"), F.sum(F.col("_y") * F.col("_y")).alias("yy"), F.stddev_pop("_c").alias("sd"))
-    base = own.agg(F.median("cc").alias("base"))
-    at = own.join(F.broadcast(base), how="cross")  # one row
-    ridge = F.lit(1e-6) * F.col("base")
-    flat = (F.col("cc") < F.greatest(F.lit(1e-2), ridge)) | (F.col("sd") < 0.10)
-    b1 = F.when(flat, 0.0).otherwise(F.col("cy") / (F.col("cc") + ridge))
-    at = at.withColumn("flat", flat).withColumn("b1", b1)
-    rss = F.greatest(F.col("yy") - 2 * F.col("b1") * F.col("cy") + F.col("b1") * F.col("b1") * F.col("cc"), F.lit(0.0))
-    se = F.sqrt(rss / F.when(F.col("n") > 2, F.col("n") - 2) / (F.col("cc") + ridge))
-    at = at.withColumn("t", F.when(F.col("flat"), 0.0).otherwise(F.col("b1") / F.when(se > 0, se)))
-    at = at.withColumn("p", F.when(F.col("flat"), 1.0).otherwise(t_pvalue(F.col("t"), (F.col("n") - 2).cast("double"))))
-    slope = {"fixed1": F.when(F.col("flat"), 0.0).otherwise(1.0), "nonneg": F.greatest("b1", F.lit(0.0)), "free": F.col("b1")}[mode]
-    return bh(at.withColumn("slope", slope).withColumn("contrast", F.lit("slope")), "p", "q").select("INDEX", "b0", "b1", "t", "p", "q", "slope")
-
-
-def adjusted(cells: DataFrame, slopes: DataFrame, value: str = "v", covariate: str = "c", out: str = "adjusted") -> DataFrame:
-    """Add the value less slope * row-centred covariate (the feature's own level stays)."""
-    c = F.col(covariate) - F.avg(covariate).over(Window.partitionBy("INDEX"))
-    return cells.withColumn("_c", c).join(slopes.select("INDEX", "slope"), "INDEX", "left").withColumn(out, F.col(value) - F.coalesce("slope", F.lit(0.0)) * F.coalesce("_c", F.lit(0.0))).drop("_c", "slope")
-
-
-def covariate_contrasts(cells: DataFrame, samples: DataFrame, contrasts: DataFrame, slopes: DataFrame, observed: DataFrame, value: str = "v", covariate: str = "c") -> DataFrame:
-    """INDEX, contrast and the fold changes raw, adjusted and of the covariate, so that raw = adjusted + part.
-
-    Where either side has no covariate value the adjusted one falls back to raw and the part is 0.
-    ``observed``: INDEX, CONDITION, n_observed of the covariate before imputation.
-    """
-    both = adjusted(cells, slopes, value, covariate).join(samples.select("Sample", "CONDITION"), "Sample")
-    means = both.groupBy("INDEX", "CONDITION").agg(F.avg(value).alias("raw"), F.avg("adjusted").alias("adj"), F.avg(covariate).alias("cov")).join(observed, ["INDEX", "CONDITION"], "left")
-    side = lambda x: means.select("INDEX", F.col("CONDITION").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("raw", "adj", "cov")), F.coalesce("n_observed", F.lit(0)).alias(f"n_{x}"))
-    at = side("A").join(F.broadcast(contrasts), "A").join(side("B"), ["INDEX", "B"])
-    informed = (F.col("n_A") > 0) & (F.col("n_B") > 0)
-    raw, adj = F.col("raw_A") - F.col("raw_B"), F.col("adj_A") - F.col("adj_B")
-    return at.select("INDEX", "contrast", raw.alias("raw_fc"), F.when(informed, adj).otherwise(raw).alias("adjusted_fc"), F.when(informed, raw - adj).otherwise(0.0).alias("covariate_part"), (F.col("cov_A") - F.col("cov_B")).alias("covariate_fc"))
-
-
 def tested(fc: DataFrame) -> DataFrame:
     """From INDEX, contrast, log2fc, se, df: t, p and q; null where se or degrees of freedom aren't positive."""
     t = F.when((F.col("se") > 0) & (F.col("df") > 0), F.col("log2fc") / F.col("se"))

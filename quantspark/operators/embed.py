@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantspark.operators.impute import nearest
+from quantspark.operators.products import sample_products, squared_distance, with_other_side
 
 
 def top_variance(cells: DataFrame, n: int, value: str = "v") -> DataFrame:
@@ -27,14 +28,9 @@ def feature_centred(cells: DataFrame, chosen: DataFrame | None = None, value: st
     return out.join(chosen.select("INDEX", F.lit(True).alias("_in")), "INDEX", "left").withColumn("centred", F.when(F.col("_in"), F.col("centred"))).drop("_in")
 
 
-def _pairs(cells: DataFrame, value: str) -> DataFrame:
-    x = cells.filter(F.col(value).isNotNull())
-    return x.select("INDEX", F.col("Sample").alias("a"), F.col(value).alias("x")).join(x.select("INDEX", F.col("Sample").alias("b"), F.col(value).alias("y")), "INDEX")
-
-
 def gram(cells: DataFrame, value: str = "centred") -> DataFrame:
     """a, b, dot: inner products of samples over features, summed in Spark."""
-    return _pairs(cells, value).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    return sample_products(cells, value).select("a", "b", F.col("xy").alias("dot"))
 
 
 def pca(cells: DataFrame, n_pcs: int | None = None, value: str = "centred") -> tuple[DataFrame, list[float]]:
@@ -73,20 +69,21 @@ def neighbours(scores: DataFrame, n_samples: int) -> DataFrame:
 
 def euclidean(cells: DataFrame, value: str = "v") -> DataFrame:
     """a, b, dist over features that both samples have."""
-    return _pairs(cells, value).groupBy("a", "b").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("dist"))
+    return squared_distance(sample_products(cells, value, centre=True)).select("a", "b", F.sqrt("d2").alias("dist"))
 
 
 def correlation_distance(cells: DataFrame, value: str = "v") -> DataFrame:
-    """a, b, dist: 1 - r, between 0 and 2, zero for a sample with itself."""
-    r = _pairs(cells, value).groupBy("a", "b").agg(F.corr("x", "y").alias("r"))
-    return r.select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.least(F.lit(2.0), F.greatest(F.lit(0.0), 1 - F.col("r")))).alias("dist"))
+    """a, b, dist: 1 - r, between 0 and 2, zero for a sample with itself; null where either has no spread."""
+    p = with_other_side(sample_products(cells, value))
+    spread = lambda x, xx: F.col(xx) - F.col(x) * F.col(x) / F.col("n")
+    both = spread("x", "xx") * spread("y", "yy")
+    r = (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.sqrt(F.when(both > 0, both))
+    return p.select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.when(r.isNotNull(), F.least(F.lit(2.0), F.greatest(F.lit(0.0), 1 - r)))).alias("dist"))
 
 
 def missing_distance(flags: DataFrame) -> DataFrame:
     """a, b, n_differ: features missing in one of two samples alone."""
-    x = flags.select("INDEX", F.col("Sample").alias("a"), F.col("missing").alias("x"))
-    y = flags.select("INDEX", F.col("Sample").alias("b"), F.col("missing").alias("y"))
-    return x.join(y, "INDEX").groupBy("a", "b").agg(F.sum(F.abs(F.col("x") - F.col("y"))).alias("n_differ"))
+    return squared_distance(sample_products(flags, "missing")).select("a", "b", F.round("d2").cast("long").alias("n_differ"))
 
 
 def missing_patterns(flags: DataFrame) -> DataFrame:

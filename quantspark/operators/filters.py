@@ -89,22 +89,26 @@ def filter_blocks(df: DataFrame, settings: FilterSettings, accessions: DataFrame
     return out if covariate is None else out.unionByName(filter_chain(covariate, settings, accessions))
 
 
-def diagnostics(df: DataFrame, settings: FilterSettings) -> DataFrame:
-    """step, threshold, n_kept, n_dropped of the score filters and the censor, each on what the steps before kept, in one pass.
-
-    Null scores are in neither count.
-    """
+def filter_steps(df: DataFrame, settings: FilterSettings) -> list[tuple[str, float, Column, Column]]:
+    """(column, threshold, rows kept, rows dropped) of the score filters and the censor, each on what the steps before
+    kept, as aggregates. Null scores are in neither count."""
     steps: list[tuple[str, float, Column, Column]] = []
     before = F.lit(True)
     for name, threshold, direction in (("QVALUE", settings.qvalue, "lower"), ("PEP", settings.pep, settings.pep_direction), ("PRECURSORS_EXP", settings.min_precursors, "higher")):
         if threshold and name in df.columns:
             keep = _score(name, threshold, direction)
-            steps.append((name, float(threshold), before & keep, before & ~keep))
+            steps.append((name, float(threshold), F.count_if(before & keep), F.count_if(before & ~keep)))
             before = before & F.coalesce(keep, F.lit(False))
     if settings.min_linear_intensity is not None:
         low = F.col("SIGNAL") < settings.min_linear_intensity
-        steps.append(("SIGNAL", float(settings.min_linear_intensity), before & ~low, before & low))
-    counts = df.agg(*(F.struct(F.count_if(k).alias("n_kept"), F.count_if(d).alias("n_dropped")).alias(name) for name, _, k, d in steps))
+        steps.append(("SIGNAL", float(settings.min_linear_intensity), F.count_if(before & ~low), F.count_if(before & low)))
+    return steps
+
+
+def diagnostics(df: DataFrame, settings: FilterSettings) -> DataFrame:
+    """step, threshold, n_kept, n_dropped of ``filter_steps``, in one pass."""
+    steps = filter_steps(df, settings)
+    counts = df.agg(*(F.struct(k.alias("n_kept"), d.alias("n_dropped")).alias(name) for name, _, k, d in steps))
     rows = F.array(*(F.struct(F.lit(name).alias("step"), F.lit(t).alias("threshold"), F.col(f"{name}.n_kept"), F.col(f"{name}.n_dropped")) for name, t, _, _ in steps))
     return counts.select(F.inline(rows))
 

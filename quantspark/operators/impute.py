@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantspark.functions.numeric import noise
+from quantspark.operators.neighbours import CORRELATION, EUCLIDEAN, feature_donors
+from quantspark.operators.products import sample_names, sample_products, squared_distance, with_other_side
+from quantspark.operators.quantiles import quantiles
+from quantspark.sources.scratch import stored
 
 
 def _done(cells: DataFrame, fill: Column, keep: list[str]) -> DataFrame:
@@ -33,7 +35,7 @@ def column_mean(cells: DataFrame) -> DataFrame:
 
 def min_det(cells: DataFrame, quantile: float = 0.01, shift: float = 0.2) -> DataFrame:
     """A low quantile of the sample less a shift; a sample without values takes the global minimum."""
-    own = cells.groupBy("Sample").agg(F.percentile("v", F.lit(quantile)).alias("_q"))
+    own = quantiles(cells, ["Sample"], "v", _q=quantile)
     whole = cells.agg(F.min("v").alias("_low"))
     at = cells.join(own, "Sample", "left").join(F.broadcast(whole), how="cross")  # one row
     return _done(at, F.coalesce(F.col("_q") - shift, "_low"), cells.columns)
@@ -41,8 +43,8 @@ def min_det(cells: DataFrame, quantile: float = 0.01, shift: float = 0.2) -> Dat
 
 def min_prob(cells: DataFrame, quantile: float = 0.01, mu_shift: float = 1.8, sd_width: float = 0.3, clip: bool = True, seed: int = 42) -> DataFrame:
     """Noise around (low quantile - mu_shift * SD) with sd_width * SD of the sample, at most the quantile."""
-    whole = cells.agg(F.percentile("v", F.lit(quantile)).alias("_gq"), F.stddev_samp("v").alias("_gsd"))
-    own = cells.groupBy("Sample").agg(F.percentile("v", F.lit(quantile)).alias("_q"), F.stddev_samp("v").alias("_sd"))
+    whole = cells.agg(F.stddev_samp("v").alias("_gsd")).join(quantiles(cells, [], "v", _gq=quantile), how="cross")
+    own = cells.groupBy("Sample").agg(F.stddev_samp("v").alias("_sd")).join(quantiles(cells, ["Sample"], "v", _q=quantile), "Sample", "left")
     usable = lambda c: F.when(F.col(c) > 0, F.col(c))
     own = own.join(F.broadcast(whole), how="cross").select("Sample", F.coalesce("_q", "_gq").alias("_q"), F.coalesce(usable("_sd"), usable("_gsd"), F.lit(1.0)).alias("_sd"))
     drawn = F.col("_q") - mu_shift * F.col("_sd") + noise("INDEX", "Sample", seed=seed) * sd_width * F.col("_sd")
@@ -96,9 +98,8 @@ def sample_distances(cells: DataFrame) -> DataFrame:
     by = Window.partitionBy("INDEX")
     sd = F.stddev_pop("v").over(by)
     z = cells.withColumn("z", (F.col("v") - F.avg("v").over(by)) / F.when(sd > 0, sd).otherwise(F.lit(1.0))).filter("z IS NOT NULL").select("INDEX", "Sample", "z")
-    a, b = z.select("INDEX", F.col("Sample").alias("src"), F.col("z").alias("x")), z.select("INDEX", F.col("Sample").alias("dst"), F.col("z").alias("y"))
-    pairs = a.join(b, "INDEX").filter("src <> dst")
-    return pairs.groupBy("src", "dst").agg(F.sqrt(F.avg((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("dist"))
+    pairs = squared_distance(sample_products(z, "z")).filter("a <> b")
+    return pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.sqrt(F.col("d2") / F.col("n")).alias("dist"))
 
 
 def nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -117,118 +118,77 @@ def knn_samples(cells: DataFrame, k: int = 6) -> DataFrame:
     return _done(at, F.coalesce("_f", "_low", F.lit(0.0)), cells.columns)
 
 
-def _vectors(cells: DataFrame) -> tuple[DataFrame, list[str]]:
-    """INDEX and one array over all samples in order."""
-    names = sorted(r[0] for r in cells.select("Sample").distinct().collect())  # as many as there are samples
-    at = cells.groupBy("INDEX").agg(F.map_from_entries(F.collect_list(F.struct("Sample", "v"))).alias("m"))
-    return at.select("INDEX", F.array(*(F.try_element_at("m", F.lit(s)) for s in names)).alias("x")), names
-
-
-def _feature_donors(cells: DataFrame, k: int, distance: Callable[[np.ndarray, np.ndarray], np.ndarray], needs_target: bool, block: int = 2000) -> tuple[DataFrame, list[str]]:
-    """INDEX, Sample, d, w for the k nearest features of each feature with a gap.
-
-    All features go to the tasks in blocks of at most ``block`` rows (so a broadcast has a bound); each block meets all
-    features with gaps, keeps its k best, and a window keeps the best of all blocks.
-    """
-    vectors, names = _vectors(cells)
-    vectors = vectors.persist()
-    n = vectors.count()
-    parts = max(1, -(-n // block))
-    gaps = vectors.filter(F.exists("x", lambda v: v.isNull()))
-    found = None
-    for p in range(parts):
-        own = vectors.filter(F.pmod(F.xxhash64("INDEX"), F.lit(parts)) == p).toPandas()  # about `block` rows
-        donors = np.array([np.array(x, float) for x in own["x"]]).reshape(-1, len(names))
-        sent = cells.sparkSession.sparkContext.broadcast((own["INDEX"].to_numpy(), donors))
-
-        def run(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            ids, donors = sent.value
-            for f in frames:
-                out = []
-                x = np.array([np.array(v, float) for v in f["x"]]).reshape(-1, len(names))
-                d = distance(x, donors) if len(donors) and len(x) else np.zeros((len(x), 0))
-                for i, index in enumerate(f["INDEX"]):
-                    d[i, ids == index] = np.inf
-                    for j in np.flatnonzero(np.isnan(x[i])):
-                        ok = np.isfinite(d[i]) & (~np.isnan(donors[:, j]) if needs_target else True)
-                        for c in np.flatnonzero(ok)[np.lexsort((ids[ok].astype(str), d[i, ok]))[:k]]:
-                            out.append((index, names[j], float(d[i, c]), str(ids[c]), None if np.isnan(donors[c, j]) else float(donors[c, j])))
-                yield pd.DataFrame(out, columns=["INDEX", "Sample", "dist", "donor", "value"])
-
-        got = gaps.mapInPandas(run, "INDEX string, Sample string, dist double, donor string, value double")
-        found = got if found is None else found.unionByName(got)
-    best = Window.partitionBy("INDEX", "Sample").orderBy("dist", "donor")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k), names
-
-
-def _nan_euclidean(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Over coordinates that both have, scaled up to all of them."""
-    a, b = ~np.isnan(x), ~np.isnan(y)
-    x0, y0 = np.where(a, x, 0), np.where(b, y, 0)
-    both = a.astype(float) @ b.T.astype(float)
-    sq = (x0**2) @ b.T - 2 * x0 @ y0.T + a @ (y0**2).T
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(both > 0, np.sqrt(np.maximum(sq, 0) * x.shape[1] / both), np.inf)
-
-
 def knn_features(cells: DataFrame, k: int = 6) -> DataFrame:
     """Mean over the k nearest features that have the sample; without one the sample's mean."""
-    donors, _ = _feature_donors(cells, k, _nan_euclidean, True)
+    donors, _ = feature_donors(cells, k, EUCLIDEAN, True)
     fill = donors.groupBy("INDEX", "Sample").agg(F.avg("value").alias("_f"))
     own = cells.groupBy("Sample").agg(F.avg("v").alias("_m"))
     return _done(cells.join(fill, ["INDEX", "Sample"], "left").join(own, "Sample", "left"), F.coalesce("_f", "_m", F.lit(0.0)), cells.columns)
 
 
-def _correlation_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    x, y = np.nan_to_num(x), np.nan_to_num(y)
-    x, y = x - x.mean(1, keepdims=True), y - y.mean(1, keepdims=True)
-    norm = np.sqrt((x**2).sum(1))[:, None] * np.sqrt((y**2).sum(1))[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return 1 - np.abs(np.where(norm > 0, x @ y.T / norm, 0.0))
-
-
 def knn_correlated(cells: DataFrame, k: int = 10) -> DataFrame:
     """Weighted mean of the k features with the strongest correlation, standardized; without a value there, the lowest value of all."""
     low = cells.agg(F.min("v").alias("_lod"))
     stats = cells.groupBy("INDEX").agg(F.avg("v").alias("_mu"), F.stddev_pop("v").alias("_sd"))
     at = cells.join(stats, "INDEX").join(F.broadcast(low), how="cross").withColumn("_sd", F.when(F.col("_mu").isNull(), 1.0).when(F.col("_sd") > 0, F.col("_sd")).otherwise(1e-8)).withColumn("_mu", F.coalesce("_mu", "_lod"))
     scaled = at.select("INDEX", "Sample", ((F.col("v") - F.col("_mu")) / F.col("_sd")).alias("v"))
-    donors, _ = _feature_donors(scaled, k, _correlation_distance, False)
+    donors, _ = feature_donors(scaled, k, CORRELATION, False)
     weight = F.when(F.col("value").isNotNull(), 1 / (F.col("dist") + 1e-6))
     fill = donors.groupBy("INDEX", "Sample").agg((F.sum(weight * F.col("value")) / F.sum(weight)).alias("_f"))
     filled = at.join(fill, ["INDEX", "Sample"], "left")
     return _done(filled, F.coalesce(F.col("_f") * F.col("_sd") + F.col("_mu"), "_lod"), cells.columns)
 
 
-def boosted(cells: DataFrame, rounds: int = 2, depth: int = 6, trees: int = 20, rate: float = 0.1, tolerance: float = 0.05) -> DataFrame:
-    """Iterative regression: each sample is predicted from the others by gradient-boosted trees, until fills change little."""
+def boosted(cells: DataFrame, rounds: int = 20, depth: int = 6, trees: int = 100, rate: float = 0.1, tolerance: float = 0.05, nearest_samples: int = 50, seed: int = 42) -> DataFrame:
+    """Iterative regression: each sample with gaps is predicted from its ``nearest_samples`` most correlated ones by
+    gradient-boosted trees, round by round, until no fill moves by more than ``tolerance`` of the largest observed value.
+
+    Fills start at the sample's mean. Each round is written to the shared folder, so that plans don't grow.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    names = sorted(r[0] for r in cells.select("Sample").distinct().collect())
+    names = sample_names(cells)
     safe = {s: f"s{i}" for i, s in enumerate(names)}
     wide = cells.groupBy("INDEX").pivot("Sample", names).agg(F.first("v")).withColumnsRenamed(safe)
-    means = wide.agg(*(F.avg(c).alias(c) for c in safe.values())).first().asDict()
-    gaps = [c for c in safe.values() if not wide.filter(F.col(c).isNull()).isEmpty()]
-    now = wide.withColumns({f"{c}_gap": F.col(c).isNull() for c in gaps}).fillna({c: means[c] or 0.0 for c in safe.values()})
-    now = now.checkpoint() if cells.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else now.persist()
+    facts = wide.agg(*(F.avg(c).alias(c) for c in safe.values()), *(F.count_if(F.col(c).isNull()).alias(f"{c}_n") for c in safe.values()), F.greatest(F.lit(0.0), *(F.coalesce(F.max(F.abs(c)), F.lit(0.0)) for c in safe.values())).alias("most")).first().asDict()
+    gaps = [c for c in safe.values() if facts[f"{c}_n"]]
+    near = correlated_samples(cells, nearest_samples)
+    now = wide.withColumns({f"{c}_gap": F.col(c).isNull() for c in gaps}).fillna({c: facts[c] or 0.0 for c in safe.values()})
     for _ in range(rounds):
-        moved = 0.0
+        before = now = stored(now, "round")
         for c in gaps:
-            inputs = VectorAssembler(inputCols=[x for x in safe.values() if x != c], outputCol="_x")
-            model = GBTRegressor(featuresCol="_x", labelCol=c, predictionCol="_p", maxDepth=depth, maxIter=trees, stepSize=rate, seed=42).fit(inputs.transform(now.filter(~F.col(f"{c}_gap"))))
-            step = model.transform(inputs.transform(now))
-            moved = max(moved, step.filter(f"{c}_gap").agg(F.max(F.abs(F.col("_p") - F.col(c)))).first()[0] or 0.0)
-            now = step.withColumn(c, F.when(F.col(f"{c}_gap"), F.col("_p")).otherwise(F.col(c))).drop("_x", "_p").persist()
-        if moved < tolerance:
+            inputs = VectorAssembler(inputCols=[safe[x] for x in near.get(names[int(c[1:])], [x for x in names if safe[x] != c])], outputCol="_x")
+            known = inputs.transform(now.filter(~F.col(f"{c}_gap")))
+            model = GBTRegressor(featuresCol="_x", labelCol=c, predictionCol="_p", maxDepth=depth, maxIter=trees, stepSize=rate, seed=seed).fit(known)
+            now = stored(model.transform(inputs.transform(now)).withColumn(c, F.when(F.col(f"{c}_gap"), F.col("_p")).otherwise(F.col(c))).drop("_x", "_p"), "column")
+        old = before.select("INDEX", *(F.col(c).alias(f"{c}_old") for c in gaps))
+        moved = now.join(old, "INDEX").agg(F.max(F.greatest(F.lit(0.0), *(F.abs(F.col(c) - F.col(f"{c}_old")) for c in gaps)))).first()[0] if gaps else 0.0
+        if (moved or 0.0) <= tolerance * facts["most"]:
             break
     long = now.select("INDEX", F.inline(F.array(*(F.struct(F.lit(s).alias("Sample"), F.col(c).alias("_f")) for s, c in safe.items()))))
     return _done(cells.join(long, ["INDEX", "Sample"], "left"), F.col("_f"), cells.columns)
 
 
+def correlated_samples(cells: DataFrame, k: int) -> dict[str, list[str]]:
+    """For each sample the k others with the largest absolute correlation over shared features, ties by name: as many rows as samples times k."""
+    p = with_other_side(sample_products(cells))
+    spread = lambda x, xx: F.col(xx) - F.col(x) * F.col(x) / F.col("n")
+    both = spread("x", "xx") * spread("y", "yy")
+    r = F.abs((F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.sqrt(F.when(both > 0, both)))
+    ranked = p.filter("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst"), (1 - F.coalesce(r, F.lit(0.0))).alias("dist"))
+    out: dict[str, list[str]] = {}
+    for row in nearest(ranked, k).orderBy("src", "rank").collect():
+        out.setdefault(row["src"], []).append(row["dst"])
+    return out
+
+
 def covariate_imputed(covariate: DataFrame, imputer: Callable[[DataFrame], DataFrame], parents: DataFrame, key: str = "PARENT_PROTEIN") -> DataFrame:
-    """Impute one row for each parent, give it to the parent's features, and subtract each feature's median."""
-    filled = imputer(covariate.select(F.col(key).alias("INDEX"), "Sample", F.col("covariate").alias("v"))).select(F.col("INDEX").alias(key), "Sample", F.col("v").alias("c"))
+    """INDEX, Sample, c, raw_covariate: impute one row for each parent, give it to the parent's features, and subtract each feature's median.
+
+    ``raw_covariate`` is the value before imputation."""
+    own = covariate.select(F.col(key).alias("INDEX"), "Sample", F.col("covariate").alias("v"))
+    filled = imputer(own).select(F.col("INDEX").alias(key), "Sample", F.col("v").alias("c"), F.when(~F.col("imputed"), F.col("v")).alias("raw_covariate"))
     fanned = parents.select("INDEX", key).join(filled, key)
     return fanned.withColumn("c", F.col("c") - F.median("c").over(Window.partitionBy("INDEX")))
 
@@ -237,7 +197,7 @@ def covariate_imputed(covariate: DataFrame, imputer: Callable[[DataFrame], DataF
 IMPUTERS: dict[str, Callable[..., DataFrame]] = {
     "mean": lambda cells, samples, **p: row_mean(cells), "median": lambda cells, samples, **p: row_median(cells),
     "lc_conmed": condition_median, "knn": lambda cells, samples, **p: knn_features(cells, **p), "nsknn": lambda cells, samples, **p: knn_samples(cells, **p),
-    "tnknn": lambda cells, samples, **p: knn_correlated(cells, **p), "rf": lambda cells, samples, **p: boosted(cells, **p),
+    "tnknn": lambda cells, samples, **p: knn_correlated(cells, **p), "rf": lambda cells, samples, **p: boosted(cells, **p), "randomforest": lambda cells, samples, **p: boosted(cells, **p),
     "mindet": lambda cells, samples, **p: min_det(cells, **p), "minprob": lambda cells, samples, **p: min_prob(cells, **p), "colmean": lambda cells, samples, **p: column_mean(cells),
 }
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantspark.functions.sequence import contains_any
+from quantspark.operators.quantiles import quantile_table, quantiles
 
 METHODS = ("log2", "log10", "median_equalization", "median_equalization_by_tag", "quantile", "global_linear", "local_linear", "global_loess", "local_loess", "none")
 
@@ -29,8 +30,7 @@ def _by_sample(cells: DataFrame, factors: DataFrame, value: str) -> DataFrame:
 
 
 def _median_factors(cells: DataFrame, value: str) -> DataFrame:
-    own = cells.groupBy("Sample").agg(F.median(value).alias("_m"))
-    whole = cells.agg(F.median(value).alias("_g"))
+    own, whole = quantiles(cells, ["Sample"], value, _m=0.5), quantiles(cells, [], value, _g=0.5)
     return own.join(whole, how="cross").select("Sample", (F.col("_g") / F.when(F.col("_m") != 0, F.col("_m"))).alias("_factor"))
 
 
@@ -51,11 +51,13 @@ def quantile_uniform(cells: DataFrame, value: str = "v", most: int = 1000) -> Da
     The grid of a sample is one array of at most ``most`` numbers, its sorted values where it has no more than that; a
     value is interpolated on it from both ends. The only value of a sample becomes 0.
     """
+    grid = quantile_table(cells, ["Sample"], value, [i / (most - 1) for i in range(most)])
+    grid = grid.groupBy("Sample").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda x: x["q"]).alias("_many"))
+    sizes = cells.groupBy("Sample").agg(F.count(value).alias("_n"))
+    small = sizes.filter(F.col("_n") <= most)
     # one row for each sample
-    counted = cells.join(F.broadcast(cells.groupBy("Sample").agg(F.count(value).alias("_n"))), "Sample")
-    few = F.sort_array(F.collect_list(F.when(F.col("_n") <= most, F.col(value))))
-    many = F.percentile(value, F.lit([i / (most - 1) for i in range(most)]))
-    n = counted.groupBy("Sample").agg(F.when(F.max("_n") <= most, few).otherwise(many).alias("_grid"))
+    few = cells.join(F.broadcast(small), "Sample", "left_semi").groupBy("Sample").agg(F.sort_array(F.collect_list(value)).alias("_few"))
+    n = sizes.join(grid, "Sample", "left").join(few, "Sample", "left").select("Sample", F.coalesce("_few", "_many").alias("_grid"))
     joined = cells.join(n, "Sample", "left")
     x, grid = F.col(value), F.col("_grid")
     last = F.size(grid) - 1
@@ -107,7 +109,8 @@ def linear_robust(cells: DataFrame, samples: DataFrame, scale: str = "global", v
     drawn = points.withColumn("rn", F.row_number().over(spot)).filter(F.col("rn") <= 2 * tries)
     pairs = drawn.groupBy("Sample", F.expr("(rn - 1) div 2").alias("k")).agg(F.min(F.struct("rn", "M", "A")).alias("p"), F.max(F.struct("rn", "M", "A")).alias("q")).filter("p.M <> q.M")
     lines = pairs.select("Sample", "k", ((F.col("q.A") - F.col("p.A")) / (F.col("q.M") - F.col("p.M"))).alias("b"), F.col("p.M").alias("m0"), F.col("p.A").alias("a0"))
-    mad = points.withColumn("med", F.median("A").over(Window.partitionBy("Sample"))).groupBy("Sample").agg(F.median(F.abs(F.col("A") - F.col("med"))).alias("mad"))
+    off = points.join(F.broadcast(quantiles(points, ["Sample"], "A", med=0.5)), "Sample").select("Sample", F.abs(F.col("A") - F.col("med")).alias("off"))  # a row a sample
+    mad = quantiles(off, ["Sample"], "off", mad=0.5)
     # at most `tries` lines a sample, each met by the sample's points
     near = points.join(F.broadcast(lines), "Sample").join(mad, "Sample").withColumn("inlier", F.abs(F.col("A") - F.col("a0") - F.col("b") * (F.col("M") - F.col("m0"))) <= F.col("mad"))
     best = near.groupBy("Sample", "k").agg(F.count_if("inlier").alias("n")).groupBy("Sample").agg(F.max(F.struct("n", -F.col("k"))).alias("w")).select("Sample", (-F.col("w.col2")).alias("k"))

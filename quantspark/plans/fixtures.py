@@ -80,6 +80,33 @@ def _t_series(df: int = 20) -> str:
 
 T_SERIES = _t_series()
 
+
+def odd_t_p(df: int) -> str:
+    """The two-sided Student-t p-value of t for odd degrees of freedom, in SQL."""
+    weight, terms, cosine = 1.0, [], f"sqrt({df} / ({df} + t * t))"
+    for k in range(1, (df - 1) // 2 + 1):
+        terms.append(f"{weight!r} * pow({cosine}, {2 * k - 1})")
+        weight *= 2 * k / (2 * k + 1)
+    return f"greatest(0, least(1, 1 - 2 / pi() * (atan(abs(t) / sqrt({df})) + abs(t) / sqrt({df} + t * t) * ({' + '.join(terms or ['0'])}))))"
+
+
+def even_t_p(df: int) -> str:
+    """The same for even degrees of freedom."""
+    return f"greatest(0, least(1, 1 - abs(t) / sqrt({df} + t * t) * ({_t_series(df)})))"
+
+
+def t_p(df: str, most: int) -> str:
+    """The p-value of t for degrees of freedom in a column, 1 to ``most``."""
+    return f"CASE {df} " + " ".join(f"WHEN {d} THEN {odd_t_p(d) if d % 2 else even_t_p(d)}" for d in range(1, most + 1)) + " END"
+
+
+def _unit(salt: int) -> str:
+    return f"(('0x' || substr(md5(\"INDEX\" || '|' || Sample || '|42|{salt}'), 1, 10))::BIGINT + 0.5) / 1099511627776"
+
+
+#: Seeded noise of a cell, in SQL.
+NOISE = f"sqrt(-2 * ln({_unit(1)})) * cos(2 * pi() * ({_unit(2)}))"
+
 #: The same tables for DuckDB.
 PRELUDE = f"""
 WITH RECURSIVE nat AS (

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantspark.functions import numeric, sequence
-from quantspark.operators import annotate, differential, embed, filters, impute, lfq, normalize, quality, reshape, rollup, sites
+from quantspark.operators import annotate, covariate, differential, embed, filters, impute, lfq, normalize, quality, reshape, rollup, sites
 from quantspark.plans import fixtures as fx
 from quantspark.sources import sinks
 
@@ -380,6 +380,21 @@ def s12(spark, sf_dir):
     return reduce(DataFrame.unionByName, (rounded(df.withColumns({n: F.col(n).cast("double") for n in names}), *names, nudge=1e-8).withColumn("layer", F.lit(x)) for x, df in layers.items()))
 
 
+@query("j14_peptide_table", f"""SELECT p."INDEX", PEPTIDE_ID, split_part(PEPTIDE_ID, '|', 1) AS PROTEIN, f.GENE_NAMES, f.FASTA_HEADERS, {_filtered("round(max(raw), 6)", "Sample", SAMPLES)}
+FROM (SELECT "INDEX", "INDEX" || '|' || {_PEP} AS PEPTIDE_ID, FILENAME AS Sample, sum(SIGNAL) AS raw FROM kept GROUP BY ALL) p LEFT JOIN (SELECT "INDEX", min(GENE_NAMES) AS GENE_NAMES, min(FASTA_HEADERS) AS FASTA_HEADERS FROM kept GROUP BY ALL) f ON f."INDEX" = p."INDEX" GROUP BY ALL""")
+def j14(spark, sf_dir):
+    kept, names = fx.kept(spark, sf_dir), _names(fx.samples(spark, sf_dir), "Sample")
+    features = kept.groupBy("INDEX").agg(F.min("GENE_NAMES").alias("GENE_NAMES"), F.min("FASTA_HEADERS").alias("FASTA_HEADERS"))
+    return rounded(sinks.annotated_table(rollup.peptide_cells(kept), features, "PEPTIDE_ID", names), *names)
+
+
+@query("e17_first_part", "SELECT p_partkey, split_part(s, '|', 1) AS first FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || '|' || p_type ELSE '|' || p_brand || '|' END AS s FROM part)")
+def e17(spark, sf_dir):
+    k = F.col("p_partkey") % 3
+    key = F.when(k == 0, F.col("p_name")).when(k == 1, F.concat("p_name", F.lit("|"), "p_type")).otherwise(F.concat(F.lit("|"), "p_brand", F.lit("|")))
+    return fx.read(spark, sf_dir, "part").select("p_partkey", sequence.first_part(key).alias("first"))
+
+
 @query("p12_summary", f"""SELECT f."INDEX", f.brand, {", ".join(_filtered(f"round(max(pv.{v}), 6)", "contrast", CONTRASTS, v.upper() + "_") for v in ("log2fc", "t", "p"))}
 FROM (SELECT "INDEX", min(FASTA_HEADERS) AS brand FROM kept GROUP BY ALL) f LEFT JOIN pv ON pv."INDEX" = f."INDEX" GROUP BY f."INDEX", f.brand""")
 def p12(spark, sf_dir):
@@ -409,7 +424,12 @@ def n3(spark, sf_dir):
     return rounded(normalize.median_equalization_by_tag(fx.logged(spark, sf_dir), features, ["BRAND#1"]), "v").select("INDEX", "Sample", "v")
 
 
-@query("n4_quantile")
+_GRID = ", ".join(f"{i / 999:.17e}" for i in range(1000))
+
+
+@query("n4_quantile", f""", gs AS (SELECT Sample, CASE WHEN count(v) <= 1000 THEN list(v ORDER BY v) FILTER (v IS NOT NULL) ELSE quantile_cont(v, [{_GRID}]) END AS g FROM grid GROUP BY ALL),
+pl AS (SELECT grid."INDEX", grid.Sample, v, g, len(g) - 1 AS last, len([x FOR x IN g IF x < v]) AS below, len([x FOR x IN g IF x <= v]) AS upto FROM grid LEFT JOIN gs USING (Sample))
+SELECT "INDEX", Sample, round(CASE WHEN v IS NULL THEN NULL WHEN last = 0 THEN 0 ELSE (CASE WHEN upto > below THEN (below + upto - 1) / 2.0 WHEN below = 0 THEN 0 WHEN below > last THEN last ELSE below - 1 + (v - g[below]) / (g[below + 1] - g[below]) END) / last END, 6) AS v FROM pl""")
 def n4(spark, sf_dir):
     return rounded(normalize.quantile_uniform(fx.logged(spark, sf_dir)), "v").select("INDEX", "Sample", "v")
 
@@ -457,16 +477,29 @@ _imputed("i1_row_mean", 'SELECT "INDEX", Sample, round(coalesce(v, avg(v) OVER (
 _imputed("i2_row_median", 'SELECT "INDEX", Sample, round(coalesce(v, median(v) OVER (PARTITION BY "INDEX"), 0), 6) AS v, v IS NULL AS imputed FROM grid', lambda c, s: impute.row_median(c))
 _imputed("i8_min_det", 'SELECT "INDEX", Sample, round(coalesce(v, quantile_cont(v, 0.01) OVER (PARTITION BY Sample) - 0.2), 6) AS v, v IS NULL AS imputed FROM grid', lambda c, s: impute.min_det(c))
 _imputed("i11_column_mean", 'SELECT "INDEX", Sample, round(coalesce(v, avg(v) OVER (PARTITION BY Sample), 0), 6) AS v, v IS NULL AS imputed FROM grid', lambda c, s: impute.column_mean(c))
-_imputed("i3_condition_median", None, impute.condition_median)
-_imputed("i9_min_prob", None, lambda c, s: impute.min_prob(c))
-_imputed("i10_detection_limit", None, lambda c, s: impute.detection_limit_fill(c))
+_LOD = "lod AS (SELECT median(v) AS lod FROM (SELECT v, row_number() OVER (ORDER BY v) AS r, count(*) OVER () AS n FROM grid WHERE v IS NOT NULL) WHERE r <= {k})"
+_UNDER = f"least(lod, lod - 0.2 + {fx.NOISE} * 0.05)"
+_imputed("i3_condition_median", f""", {_LOD.format(k="10")},
+cb AS (SELECT "INDEX", CONDITION, count(v) AS n, median(v) AS center, quantile_cont(v, 0.25) AS lower, quantile_cont(v, 0.75) AS upper, var_samp(v) AS s2, sum(v) AS t, sum(v * v) AS tt FROM grid GROUP BY ALL),
+ps AS (SELECT "INDEX", greatest(coalesce(sqrt(sum((n - 1) * s2) FILTER (n >= 2) / sum(n - 1) FILTER (n >= 2)), CASE WHEN sum(n) >= 2 THEN sqrt(greatest((sum(tt) - sum(t) * sum(t) / sum(n)) / (sum(n) - 1), 0)) ELSE 0 END, 0), 1e-8) AS sd FROM cb WHERE n >= 1 GROUP BY ALL)
+SELECT g."INDEX", g.Sample, round(coalesce(g.v, CASE WHEN n >= 1 THEN greatest(lower, least(upper, center + z * greatest(0.2 * sd, 1e-8))) ELSE least(lod, lod - 0.2 + z * 0.05) END), 6) AS v, g.v IS NULL AS imputed
+FROM (SELECT *, {fx.NOISE} AS z FROM grid) g JOIN cb ON cb."INDEX" = g."INDEX" AND cb.CONDITION = g.CONDITION LEFT JOIN ps ON ps."INDEX" = g."INDEX" CROSS JOIN lod""", impute.condition_median)
+_imputed("i9_min_prob", f', sm AS (SELECT Sample, quantile_cont(v, 0.01) AS q, stddev_samp(v) AS sd FROM grid GROUP BY ALL) SELECT "INDEX", Sample, round(coalesce(v, least(q, q - 1.8 * sd + {fx.NOISE} * 0.3 * sd)), 6) AS v, v IS NULL AS imputed FROM grid JOIN sm USING (Sample)', lambda c, s: impute.min_prob(c))
+_imputed("i10_detection_limit", f', {_LOD.format(k="least(50, greatest(10, ceil(n / 100)))")} SELECT "INDEX", Sample, round(coalesce(v, {_UNDER}), 6) AS v, v IS NULL AS imputed FROM grid CROSS JOIN lod', lambda c, s: impute.detection_limit_fill(c))
 _NEAR = """, zz AS (SELECT "INDEX", Sample, (v - avg(v) OVER w) / CASE WHEN stddev_pop(v) OVER w > 0 THEN stddev_pop(v) OVER w ELSE 1 END AS z FROM grid WINDOW w AS (PARTITION BY "INDEX")),
 dd AS (SELECT a.Sample AS src, b.Sample AS dst, sqrt(avg((a.z - b.z) * (a.z - b.z))) AS dist FROM zz a JOIN zz b ON a."INDEX" = b."INDEX" AND a.Sample <> b.Sample WHERE a.z IS NOT NULL AND b.z IS NOT NULL GROUP BY ALL)"""
 _imputed("i5_knn_samples", _NEAR + """, nn AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM dd) WHERE r <= 6), lo AS (SELECT "INDEX", min(v) AS low FROM grid GROUP BY ALL),
 ff AS (SELECT g."INDEX", g.Sample, avg(coalesce(d.v, lo.low)) AS f FROM grid g JOIN nn ON nn.src = g.Sample JOIN grid d ON d."INDEX" = g."INDEX" AND d.Sample = nn.dst JOIN lo ON lo."INDEX" = g."INDEX" WHERE g.v IS NULL GROUP BY ALL)
 SELECT g."INDEX", g.Sample, round(coalesce(g.v, ff.f), 6) AS v, g.v IS NULL AS imputed FROM grid g LEFT JOIN ff ON ff."INDEX" = g."INDEX" AND ff.Sample = g.Sample""", lambda c, s: impute.knn_samples(c))
-_imputed("i4_knn_features", None, lambda c, s: impute.knn_features(c))
-_imputed("i6_knn_correlated", None, lambda c, s: impute.knn_correlated(c))
+_imputed("i4_knn_features", """, pr AS (SELECT a."INDEX" AS i, b."INDEX" AS d, sqrt(sum((a.v - b.v) * (a.v - b.v)) * 25 / count(*)) AS dist FROM grid a JOIN grid b ON a.Sample = b.Sample AND a."INDEX" <> b."INDEX" WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY ALL),
+nn AS (SELECT g."INDEX", g.Sample, b.v, row_number() OVER (PARTITION BY g."INDEX", g.Sample ORDER BY dist, d) AS r FROM grid g JOIN pr ON pr.i = g."INDEX" JOIN grid b ON b."INDEX" = pr.d AND b.Sample = g.Sample WHERE g.v IS NULL AND b.v IS NOT NULL),
+ff AS (SELECT "INDEX", Sample, avg(v) AS f FROM nn WHERE r <= 6 GROUP BY ALL), sm AS (SELECT Sample, avg(v) AS m FROM grid GROUP BY ALL)
+SELECT g."INDEX", g.Sample, round(coalesce(g.v, f, m, 0), 6) AS v, g.v IS NULL AS imputed FROM grid g LEFT JOIN ff ON ff."INDEX" = g."INDEX" AND ff.Sample = g.Sample LEFT JOIN sm ON sm.Sample = g.Sample""", lambda c, s: impute.knn_features(c))
+_imputed("i6_knn_correlated", """, zz AS (SELECT "INDEX", Sample, v, avg(v) OVER w AS mu, CASE WHEN stddev_pop(v) OVER w > 0 THEN stddev_pop(v) OVER w ELSE 1e-8 END AS sd FROM grid WINDOW w AS (PARTITION BY "INDEX")), zs AS (SELECT *, (v - mu) / sd AS z FROM zz),
+nz AS (SELECT "INDEX", sum(z * z) AS q FROM zs GROUP BY ALL), pr AS (SELECT a."INDEX" AS i, b."INDEX" AS d, sum(a.z * b.z) AS xy FROM zs a JOIN zs b ON a.Sample = b.Sample AND a."INDEX" <> b."INDEX" WHERE a.z IS NOT NULL AND b.z IS NOT NULL GROUP BY ALL),
+pd AS (SELECT i, d, CASE WHEN x.q > 0 AND y.q > 0 THEN 1 - abs(xy / sqrt(x.q * y.q)) ELSE 1 END AS dist FROM pr JOIN nz x ON x."INDEX" = i JOIN nz y ON y."INDEX" = d), nn AS (SELECT i, d, dist FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, d) AS r FROM pd) WHERE r <= 10),
+ff AS (SELECT g."INDEX", g.Sample, sum(b.z / (dist + 1e-6)) / sum(CASE WHEN b.z IS NOT NULL THEN 1 / (dist + 1e-6) END) * g.sd + g.mu AS f FROM zs g JOIN nn ON nn.i = g."INDEX" JOIN zs b ON b."INDEX" = nn.d AND b.Sample = g.Sample WHERE g.v IS NULL GROUP BY g."INDEX", g.Sample, g.sd, g.mu)
+SELECT g."INDEX", g.Sample, round(coalesce(g.v, f, (SELECT min(v) FROM grid)), 6) AS v, g.v IS NULL AS imputed FROM grid g LEFT JOIN ff ON ff."INDEX" = g."INDEX" AND ff.Sample = g.Sample""", lambda c, s: impute.knn_correlated(c))
 
 
 @query("w6_detection_limit", "SELECT round(median(v), 6) AS lod FROM (SELECT v FROM grid WHERE v IS NOT NULL ORDER BY v LIMIT 10)")
@@ -527,6 +560,12 @@ def d5(spark, sf_dir):
     return rounded(differential.moderated(_stats(spark, sf_dir), d0, s0), "s2_post", "t_mod", "p_mod").select("INDEX", "contrast", "s2_post", "t_mod", "p_mod")
 
 
+@query("d5_given_prior", f""", mo AS (SELECT *, (4 * 0.5 + 20 * s2) / 24 AS s2_post, log2fc / (sqrt((4 * 0.5 + 20 * s2) / 24) * factor) AS tm FROM st), pm AS (SELECT "INDEX", contrast, s2_post, tm AS t FROM mo)
+SELECT "INDEX", contrast, round(s2_post, 6) AS s2_post, round(t, 6) AS t_mod, round({fx.even_t_p(24)}, 6) AS p_mod FROM pm""")
+def d5p(spark, sf_dir):
+    return rounded(differential.moderated(_stats(spark, sf_dir), 4.0, 0.5), "s2_post", "t_mod", "p_mod").select("INDEX", "contrast", "s2_post", "t_mod", "p_mod")
+
+
 @query("d6_missing_mask", 'SELECT a."INDEX", contrast, a.n_observed AS n_a, b.n_observed AS n_b, a.n_observed = 0 AND b.n_observed = 0 AS masked FROM obs a JOIN contrasts c ON a.CONDITION = c.A JOIN obs b ON b."INDEX" = a."INDEX" AND b.CONDITION = c.B')
 def d6(spark, sf_dir):
     return differential.missing_mask(quality.missing_counts(fx.grid(spark, sf_dir), fx.samples(spark, sf_dir)), fx.contrasts(spark, sf_dir))
@@ -565,8 +604,9 @@ def d17(spark, sf_dir):
 
 _COV = """, cv AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, log2(avg(SIGNAL)) AS c FROM kept WHERE IS_COVARIATE GROUP BY ALL), cc AS (SELECT d."INDEX", d.Sample, d.CONDITION, d.v, cv.c FROM det d JOIN (SELECT DISTINCT "INDEX", PARENT_PROTEIN FROM kept) p USING ("INDEX") LEFT JOIN cv ON cv.PARENT_PROTEIN = p.PARENT_PROTEIN AND cv.Sample = d.Sample),
 ce AS (SELECT *, c - avg(c) OVER (PARTITION BY "INDEX") AS c0, v - avg(CASE WHEN c IS NOT NULL THEN v END) OVER (PARTITION BY "INDEX") AS y0 FROM cc),
-sl AS (SELECT "INDEX", count(c) AS n, avg(CASE WHEN c IS NOT NULL THEN v END) AS b0, sum(c0 * y0) AS cy, sum(c0 * c0) AS cs, stddev_pop(c0) AS sd FROM ce GROUP BY ALL HAVING count(c) > 0),
-sb AS (SELECT *, CASE WHEN cs < greatest(0.01, 1e-6 * base) OR sd < 0.1 THEN 0 ELSE cy / (cs + 1e-6 * base) END AS b1, CASE WHEN cs < greatest(0.01, 1e-6 * base) OR sd < 0.1 THEN 0.0 ELSE 1.0 END AS slope FROM sl CROSS JOIN (SELECT median(cs) AS base FROM sl))"""
+sl AS (SELECT "INDEX", count(c) AS n, avg(CASE WHEN c IS NOT NULL THEN v END) AS b0, sum(c0 * y0) AS cy, sum(c0 * c0) AS cs, sum(CASE WHEN c IS NOT NULL THEN y0 * y0 END) AS yy, stddev_samp(c0) AS sd FROM ce GROUP BY ALL HAVING count(c) > 0),
+sf AS (SELECT *, cs < greatest(0.01, 1e-6 * base) OR sd < 0.1 AS flat FROM sl CROSS JOIN (SELECT median(cs) FILTER (cs > 0) AS base FROM sl)),
+sb AS (SELECT *, CASE WHEN flat THEN 0 ELSE cy / (cs + 1e-6 * base) END AS b1, 1.0 AS slope FROM sf)"""
 
 
 def _with_covariate(spark, sf_dir) -> DataFrame:
@@ -576,24 +616,49 @@ def _with_covariate(spark, sf_dir) -> DataFrame:
     return out.select("INDEX", "Sample", "v", F.col("covariate").alias("c"))
 
 
-@query("d11_covariate_slopes", _COV + ' SELECT "INDEX", round(b0, 6) AS b0, round(b1, 6) AS b1, slope FROM sb')
+@query("d11_covariate_slopes", _COV + f""", tt AS (SELECT *, CASE WHEN flat THEN 0 ELSE b1 / sqrt(greatest(0, yy - 2 * b1 * cy + b1 * b1 * cs) / greatest(n - 2, 1) / (cs + 1e-6 * base)) END AS t FROM sb), pp AS (SELECT *, CASE WHEN flat THEN 1 ELSE {fx.t_p('greatest(n - 2, 1)', 23)} END AS p FROM tt)
+SELECT "INDEX", round(b0, 6) AS b0, round(b1, 6) AS b1, round(t, 6) AS t, round(p, 6) AS p, round(least(1, min(p / cd) OVER (ORDER BY p DESC)), 6) AS q, slope FROM (SELECT *, cume_dist() OVER (ORDER BY p) AS cd FROM pp)""")
 def d11(spark, sf_dir):
-    return rounded(differential.covariate_slopes(_with_covariate(spark, sf_dir)), "b0", "b1").select("INDEX", "b0", "b1", "slope")
+    return rounded(covariate.covariate_slopes(_with_covariate(spark, sf_dir), fx.samples(spark, sf_dir)), "b0", "b1", "t", "p", "q").select("INDEX", "b0", "b1", "t", "p", "q", "slope")
 
 
 @query("d13_adjusted", _COV + ' SELECT ce."INDEX", Sample, round(v - coalesce(slope, 0) * coalesce(c0, 0), 6) AS adjusted FROM ce LEFT JOIN sb ON sb."INDEX" = ce."INDEX"')
 def d13(spark, sf_dir):
     cells = _with_covariate(spark, sf_dir)
-    return rounded(differential.adjusted(cells, differential.covariate_slopes(cells)), "adjusted").select("INDEX", "Sample", "adjusted")
+    fitted = covariate.slopes(covariate.group_moments(cells, fx.samples(spark, sf_dir)))
+    return rounded(covariate.adjusted(cells, fitted), "adjusted").select("INDEX", "Sample", "adjusted")
 
 
-@query("d16_covariate_part", _COV + """, ad AS (SELECT ce."INDEX", CONDITION, avg(v) AS r, avg(v - coalesce(slope, 0) * coalesce(c0, 0)) AS a, count(c) AS n FROM ce LEFT JOIN sb ON sb."INDEX" = ce."INDEX" GROUP BY ALL)
-SELECT x."INDEX", contrast, round(x.r - y.r, 6) AS raw_fc, round(CASE WHEN x.n > 0 AND y.n > 0 THEN x.a - y.a ELSE x.r - y.r END, 6) AS adjusted_fc, round(CASE WHEN x.n > 0 AND y.n > 0 THEN (x.r - y.r) - (x.a - y.a) ELSE 0 END, 6) + 0.0 AS covariate_part FROM ad x JOIN contrasts k ON x.CONDITION = k.A JOIN ad y ON y."INDEX" = x."INDEX" AND y.CONDITION = k.B""")
+@query("d16_covariate_part", _COV + """, ad AS (SELECT ce."INDEX", CONDITION, avg(v) AS r, avg(v - coalesce(slope, 0) * coalesce(c0, 0)) AS a, avg(c) AS m, count(c) AS n FROM ce LEFT JOIN sb ON sb."INDEX" = ce."INDEX" GROUP BY ALL)
+SELECT x."INDEX", contrast, round(x.r - y.r, 6) AS raw_fc, round(CASE WHEN x.n > 0 AND y.n > 0 THEN x.a - y.a ELSE x.r - y.r END, 6) AS adjusted_fc, round(CASE WHEN x.n > 0 AND y.n > 0 THEN x.m - y.m ELSE 0 END, 6) + 0.0 AS covariate_part FROM ad x JOIN contrasts k ON x.CONDITION = k.A JOIN ad y ON y."INDEX" = x."INDEX" AND y.CONDITION = k.B""")
 def d16(spark, sf_dir):
-    cells = _with_covariate(spark, sf_dir)
-    seen = cells.join(fx.samples(spark, sf_dir), "Sample").groupBy("INDEX", "CONDITION").agg(F.count("c").alias("n_observed"))
-    out = differential.covariate_contrasts(cells, fx.samples(spark, sf_dir), fx.contrasts(spark, sf_dir), differential.covariate_slopes(cells), seen)
-    return rounded(out, "raw_fc", "adjusted_fc", "covariate_part").withColumn("covariate_part", F.col("covariate_part") + 0.0).select("INDEX", "contrast", "raw_fc", "adjusted_fc", "covariate_part")
+    out, _ = covariate.covariate_differential(_with_covariate(spark, sf_dir), fx.samples(spark, sf_dir), fx.contrasts(spark, sf_dir))
+    out = rounded(out.withColumnsRenamed({"raw_log2fc": "raw_fc", "log2fc": "adjusted_fc"}), "raw_fc", "adjusted_fc", "covariate_part")
+    return out.withColumn("covariate_part", F.col("covariate_part") + 0.0).select("INDEX", "contrast", "raw_fc", "adjusted_fc", "covariate_part")
+
+
+_FITS = ("log2fc", "t", "p", "q")
+
+
+@query("d14_three_fits", f""", cl AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, log2(avg(SIGNAL)) AS c FROM kept WHERE IS_COVARIATE AND CHARGE > 2 GROUP BY ALL), cg AS (SELECT p.PARENT_PROTEIN, s.Sample, cl.c FROM (SELECT DISTINCT PARENT_PROTEIN FROM cl) p CROSS JOIN smp s LEFT JOIN cl ON cl.PARENT_PROTEIN = p.PARENT_PROTEIN AND cl.Sample = s.Sample),
+ci AS (SELECT *, coalesce(c, avg(c) OVER (PARTITION BY PARENT_PROTEIN), 0) AS f FROM cg), fo AS (SELECT p."INDEX", ci.Sample, ci.c AS seen_c, ci.f - median(ci.f) OVER (PARTITION BY p."INDEX") AS c FROM (SELECT DISTINCT "INDEX", PARENT_PROTEIN FROM kept) p JOIN ci USING (PARENT_PROTEIN)),
+xx AS (SELECT d."INDEX", d.CONDITION, d.v, d.raw, fo.c, fo.seen_c, d.v - (fo.c - avg(fo.c) OVER (PARTITION BY d."INDEX")) AS r FROM det d JOIN fo ON fo."INDEX" = d."INDEX" AND fo.Sample = d.Sample),
+se AS (SELECT "INDEX", CONDITION, 'a' AS k, r AS y, raw AS o, seen_c FROM xx UNION ALL SELECT "INDEX", CONDITION, 'r', v, raw, seen_c FROM xx UNION ALL SELECT "INDEX", CONDITION, 'c', c, seen_c, seen_c FROM xx),
+g3 AS (SELECT "INDEX", CONDITION, k, avg(y) AS mean, count(y) AS n, var_samp(y) AS var, count(o) AS seen, count(seen_c) AS n_c FROM se GROUP BY ALL), p3 AS (SELECT "INDEX", k, sum((n - 1) * var) / sum(n - 1) AS s2 FROM g3 GROUP BY ALL),
+s3 AS (SELECT x."INDEX", x.k, contrast, x.mean - y.mean AS log2fc, (x.mean - y.mean) / sqrt(s2 * (1.0 / x.n + 1.0 / y.n)) AS t, x.seen = 0 AND y.seen = 0 AS masked, x.n_c > 0 AND y.n_c > 0 AS informed
+FROM g3 x JOIN contrasts z ON x.CONDITION = z.A JOIN g3 y ON y."INDEX" = x."INDEX" AND y.k = x.k AND y.CONDITION = z.B JOIN p3 ON p3."INDEX" = x."INDEX" AND p3.k = x.k),
+v3 AS (SELECT *, CASE WHEN masked THEN 1 ELSE {fx.even_t_p(20)} END AS p FROM s3), q3 AS (SELECT *, least(1, min(p / cd) OVER (PARTITION BY k, contrast ORDER BY p DESC)) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY k, contrast ORDER BY p) AS cd FROM v3))
+SELECT a."INDEX", a.contrast, a.masked, a.informed, round(CASE WHEN a.masked THEN 0 WHEN a.informed THEN a.log2fc ELSE r.log2fc END, 6) AS log2fc, round(CASE WHEN a.masked THEN 0 ELSE a.t END, 6) AS t, round(a.p, 6) AS p, round(CASE WHEN a.masked THEN 1 ELSE a.q END, 6) AS q, round(CASE WHEN a.informed THEN c.log2fc ELSE 0 END, 6) + 0.0 AS covariate_part,
+{", ".join(f"round({k[0]}.{c}, 6) AS {k}_{c}" for k in ("raw", "covariate") for c in _FITS)} FROM q3 a JOIN q3 r ON r."INDEX" = a."INDEX" AND r.contrast = a.contrast JOIN q3 c ON c."INDEX" = a."INDEX" AND c.contrast = a.contrast WHERE a.k = 'a' AND r.k = 'r' AND c.k = 'c'""")
+def d14(spark, sf_dir):
+    kept, samples = fx.kept(spark, sf_dir), fx.samples(spark, sf_dir)
+    parents = kept.select("INDEX", "PARENT_PROTEIN").distinct()
+    own = rollup.covariate_cells(kept.filter("IS_COVARIATE AND CHARGE > 2")).withColumn("covariate", F.log2("covariate"))
+    own = reshape.complete_grid(own.withColumnRenamed("PARENT_PROTEIN", "INDEX"), samples).withColumnRenamed("INDEX", "PARENT_PROTEIN")
+    cells = processed(spark, sf_dir).join(impute.covariate_imputed(own, impute.row_mean, parents), ["INDEX", "Sample"])
+    out, _ = covariate.covariate_differential(cells, samples, fx.contrasts(spark, sf_dir), raw="raw", raw_covariate="raw_covariate")
+    names = [*_FITS, "covariate_part", *(f"{k}_{c}" for k in ("raw", "covariate") for c in _FITS)]
+    return rounded(out, *names).withColumn("covariate_part", F.col("covariate_part") + 0.0).select("INDEX", "contrast", "masked", "informed", *names)
 
 
 # Embedding --------------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantspark.functions.sequence import first_part
 from quantspark.operators.reshape import pivot_cells
 
 
@@ -30,6 +31,15 @@ def consistency_table(features: DataFrame, consistent: DataFrame, conditions: li
     return features.join(wide, "INDEX", "left").fillna(0, [prefix + c for c in conditions])
 
 
+def annotated_table(cells: DataFrame, features: DataFrame, key: str, samples: list[str], value: str = "raw") -> DataFrame:
+    """Peptides or precursors x samples, with what is known of the protein that their key names before the first bar.
+
+    A site's feature is itself "protein|site"; there the protein's own row is missed and the feature's is taken.
+    """
+    wide = cells.groupBy("INDEX", key).pivot("Sample", samples).agg(F.first(value))
+    return wide.withColumn("PROTEIN", first_part(F.col(key))).join(features, "INDEX", "left")
+
+
 def summary_table(features: DataFrame, stats: DataFrame, contrasts: list[str], values: tuple[str, ...] = ("log2fc", "p", "q")) -> DataFrame:
     """One row a feature: metadata, then <VALUE>_<contrast> columns."""
     wide = stats.groupBy("INDEX").pivot("contrast", contrasts).agg(*(F.first(v).alias(v) for v in values))
