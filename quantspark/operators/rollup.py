@@ -54,7 +54,8 @@ def evidence_cells(df: DataFrame, phospho: bool = False) -> DataFrame:
         layers.append(F.max("LOC_PROB").alias("LOC_PROB"))
     if "IBAQ" in df.columns:
         layers.append(F.avg(array_mean(doubles(F.col("IBAQ").cast("string")))).alias("ibaq"))
-    return df.groupBy("INDEX", F.col("FILENAME").alias("Sample")).agg(*layers)
+    cells = df.groupBy("INDEX", F.col("FILENAME").alias("Sample"))
+    return cells.agg(*layers) if layers else cells.agg(F.lit(None).alias("_none")).drop("_none")
 
 
 def site_counts(df: DataFrame) -> DataFrame:

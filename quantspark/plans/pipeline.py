@@ -13,6 +13,7 @@ from quantspark.operators import annotate, covariate, differential, embed, filte
 from quantspark.plans.config import PRESETS, Settings, preset
 from quantspark.schema import CONFIG_COLUMNS, analysis_type, canonical_types
 from quantspark.sources import readers, sinks, store
+from quantspark.sources.scratch import stored
 
 __all__ = ["PRESETS", "Results", "add_statistics", "embed_samples", "inject", "load", "prepare", "preprocess", "preset", "run_pipeline", "validate"]
 
@@ -130,7 +131,7 @@ def _quantities(kept: DataFrame, method: str, least: int) -> DataFrame:
 
 
 def preprocess(df: DataFrame, config: dict[str, Any], annotated: dict[str, bool] | None = None) -> Results:
-    """Filter, roll up, complete the grid, normalize, impute, for the main and the covariate block. The filtered table and the cells feed several steps and are persisted."""
+    """Filter, roll up, complete the grid, normalize, impute, for the main and the covariate block. The filtered table feeds several steps and is persisted; cells are written between steps."""
     s = Settings(config)
     kind = analysis_type(s["dataset.analysis_type"])
     f = {k: s[f"preprocessing.filtering.{k}"] for k in ("qvalue", "pep", "pep_direction", "min_precursors", "min_linear_intensity")}
@@ -142,7 +143,7 @@ def preprocess(df: DataFrame, config: dict[str, Any], annotated: dict[str, bool]
     if s.has_covariate() and not any(r["IS_COVARIATE"] for r in runs) and other is None:
         raise ValueError("covariates are enabled, but there are no covariate rows")
     kept = filters.filter_chain(main, settings, accessions).persist()
-    samples = annotate.sample_table(kept)
+    samples = stored(annotate.sample_table(kept), "samples")  # a row a run
     least = int(s["preprocessing.directlfq_min_nonan"])
     raw = _quantities(kept, s["preprocessing.protein_rollup_method"], least)
     evidence = rollup.evidence_cells(kept, phospho=kind == "phospho")
@@ -151,8 +152,9 @@ def preprocess(df: DataFrame, config: dict[str, Any], annotated: dict[str, bool]
     cells = reshape.complete_grid(raw.join(evidence, ["INDEX", "Sample"], "left"), samples)
     if "LOC_PROB" in cells.columns:
         cells = filters.localization_filter(cells, s["preprocessing.phospho.localization_filter_threshold"], s["preprocessing.phospho.localization_filter_mode"])
+    cells = stored(cells, "cells")  # from here on the long table isn't read for them again
     features = rollup.features(kept, ["FASTA_HEADERS", "GENE_NAMES", "PROTEIN_DESCRIPTIONS", "PROTEIN_WEIGHT", "PARENT_PROTEIN"], ["FILENAME", "SIGNAL"])
-    work = _normalized(cells.withColumn("v", F.col("raw")), samples, features, s).withColumn("normalized", F.col("v")).persist()
+    work = stored(_normalized(cells.withColumn("v", F.col("raw")), samples, features, s).withColumn("normalized", F.col("v")), "normalized")
     method, params = s.imputation()
     done = impute.impute(work.select("INDEX", "Sample", "v"), samples, method, **params).withColumnRenamed("v", "processed")
     out = work.drop("v").join(done, ["INDEX", "Sample"])
@@ -165,7 +167,7 @@ def preprocess(df: DataFrame, config: dict[str, Any], annotated: dict[str, bool]
         block = _covariate_block(filters.filter_chain(other, settings, accessions), out, samples, features, s)
         out = out.join(block, ["INDEX", "Sample"], "left")
         extra["covariate"] = block
-    return Results(out.persist(), samples, features, extra=extra)
+    return Results(stored(out, "processed"), samples, features, extra=extra)
 
 
 def _normalized(cells: DataFrame, samples: DataFrame, features: DataFrame, s: Settings) -> DataFrame:
@@ -184,7 +186,7 @@ def _covariate_block(rows: DataFrame, cells: DataFrame, samples: DataFrame, feat
     own = _quantities(by_parent, method, least).withColumnRenamed("Sample", "_own").join(F.broadcast(pairs), "_own").select(F.col("INDEX").alias("PARENT_PROTEIN"), "Sample", F.col("raw").alias("covariate"))  # a row a run
     parents = features.select("INDEX", "PARENT_PROTEIN").filter("PARENT_PROTEIN IS NOT NULL").join(cells.select("INDEX").distinct(), "INDEX", "left_semi")
     fanned = rollup.with_covariate(cells.select("INDEX", "Sample"), parents, own).withColumn("v", F.col("covariate"))
-    work = _normalized(fanned, samples, features, s).persist()
+    work = stored(_normalized(stored(fanned, "covariate"), samples, features, s), "covariate-normalized")
     by_key = work.filter("PARENT_PROTEIN IS NOT NULL").groupBy("PARENT_PROTEIN", "Sample").agg(F.any_value("v").alias("covariate"))
     seen = by_key.groupBy("PARENT_PROTEIN").agg(F.count("covariate").alias("_n")).filter("_n > 0").select("PARENT_PROTEIN")
     imputer, params = s.imputation()
