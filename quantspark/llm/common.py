@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+#: Where the C library can give freed memory back; None elsewhere.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -45,7 +48,14 @@ def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 21) -> Iterator[pa.Reco
     step = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, 1)))
     for a in range(0, batch.num_rows, step):
         yield batch.slice(a, step)
-    pa.default_memory_pool().release_unused()  # a worker outlives its tasks
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its tasks, and what one stage freed would stay its size for the next."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
