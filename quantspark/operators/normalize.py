@@ -101,18 +101,23 @@ def linear_robust(cells: DataFrame, samples: DataFrame, scale: str = "global", v
     """Subtract a robust line A ~ M for each sample.
 
     ``tries`` lines through two hashed points each compete; the one with most points within the median absolute
-    deviation of A wins, and a least-squares line through those points is subtracted.
+    deviation of A (and 1e-9, so that rounding doesn't choose) wins, and a least-squares line through those points is
+    subtracted.
     """
     at = ma(reference_values(filled_for_fit(cells, value), samples, scale, value).withColumn("_v", F.col(value)).withColumn(value, F.col("fit")), value)
     points = at.filter("M IS NOT NULL AND A IS NOT NULL").select("INDEX", "Sample", "M", "A")
-    spot = Window.partitionBy("Sample").orderBy(F.xxhash64("INDEX", F.lit(seed)), "INDEX")
-    drawn = points.withColumn("rn", F.row_number().over(spot)).filter(F.col("rn") <= 2 * tries)
-    pairs = drawn.groupBy("Sample", F.expr("(rn - 1) div 2").alias("k")).agg(F.min(F.struct("rn", "M", "A")).alias("p"), F.max(F.struct("rn", "M", "A")).alias("q")).filter("p.M <> q.M")
+    # the 2 * tries smallest hashes of a sample are below a bound that its size gives, with room for twenty times the
+    # deviation of their number; only what is below meets in a window
+    place = F.conv(F.substring(F.md5(F.concat_ws("|", "INDEX", F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+    sizes = points.groupBy("Sample").agg(F.least(F.lit(1.0), (2 * tries + 20 * (2 * tries) ** 0.5 + 50) / F.count(F.lit(1))).alias("share"))
+    low = points.withColumn("place", place).join(F.broadcast(sizes), "Sample").filter(F.col("place") < F.col("share") * float(1 << 60))  # a row a sample
+    drawn = low.withColumn("rn", F.row_number().over(Window.partitionBy("Sample").orderBy("place", "INDEX"))).filter(F.col("rn") <= 2 * tries)
+    pairs = drawn.groupBy("Sample", F.expr("(rn - 1) div 2").alias("k")).agg(F.min(F.struct("rn", "M", "A")).alias("p"), F.max(F.struct("rn", "M", "A")).alias("q")).filter("abs(q.M - p.M) > 1e-9")
     lines = pairs.select("Sample", "k", ((F.col("q.A") - F.col("p.A")) / (F.col("q.M") - F.col("p.M"))).alias("b"), F.col("p.M").alias("m0"), F.col("p.A").alias("a0"))
     off = points.join(F.broadcast(quantiles(points, ["Sample"], "A", med=0.5)), "Sample").select("Sample", F.abs(F.col("A") - F.col("med")).alias("off"))  # a row a sample
     mad = quantiles(off, ["Sample"], "off", mad=0.5)
     # at most `tries` lines a sample, each met by the sample's points
-    near = points.join(F.broadcast(lines), "Sample").join(mad, "Sample").withColumn("inlier", F.abs(F.col("A") - F.col("a0") - F.col("b") * (F.col("M") - F.col("m0"))) <= F.col("mad"))
+    near = points.join(F.broadcast(lines), "Sample").join(mad, "Sample").withColumn("inlier", F.abs(F.col("A") - F.col("a0") - F.col("b") * (F.col("M") - F.col("m0"))) <= F.col("mad") + 1e-9)
     best = near.groupBy("Sample", "k").agg(F.count_if("inlier").alias("n")).groupBy("Sample").agg(F.max(F.struct("n", -F.col("k"))).alias("w")).select("Sample", (-F.col("w.col2")).alias("k"))
     fit = near.filter("inlier").join(best, ["Sample", "k"], "left_semi").groupBy("Sample").agg(F.regr_slope("A", "M").alias("_b"), F.avg("A").alias("_ma"), F.avg("M").alias("_mm"))
     predicted = F.coalesce(F.col("_b"), F.lit(0.0)) * (F.col("M") - F.coalesce("_mm", F.lit(0.0))) + F.coalesce("_ma", F.lit(0.0))

@@ -56,7 +56,7 @@ def site_index(df: DataFrame, policy: str = "explode", pairing: str = "cross") -
     if pairing not in ("cross", "aligned"):
         raise ValueError("pairing is cross or aligned")
     parsed = _parsed(df)
-    number = lambda s: F.substring(s, 2, 100).cast("long")
+    number = lambda s: F.substring(s, F.lit(2), F.length(s)).cast("long")
     if POLICIES[policy] == "retain":
         start = first_long(F.col("PEPTIDE_START"))
         there = parsed.withColumn("_kept", F.filter("_sites", lambda s: F.coalesce(F.array_contains("_positions", number(s) - start + 1), F.lit(False))))

@@ -451,7 +451,13 @@ def n8(spark, sf_dir):
     return rounded(normalize.linear_by_least_squares(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir)), "v").select("INDEX", "Sample", "v")
 
 
-@query("n8_robust_linear")
+@query("n8_robust_linear", """, ff AS (SELECT "INDEX", Sample, CONDITION, v, coalesce(v, median(v) OVER (PARTITION BY "INDEX")) AS f FROM grid), rr AS (SELECT *, coalesce(min(CASE WHEN n = 1 THEN v END) OVER (PARTITION BY "INDEX", CONDITION), avg(v) OVER (PARTITION BY "INDEX")) AS r FROM (SELECT *, row_number() OVER (PARTITION BY "INDEX", CONDITION ORDER BY Sample) AS n FROM ff)),
+am AS (SELECT "INDEX", Sample, v, (f + r) / 2 AS m, f - r AS a, ('0x' || substr(md5("INDEX" || '|42'), 1, 15))::BIGINT AS h FROM rr), dr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Sample ORDER BY h, "INDEX") - 1 AS rn FROM am) WHERE rn < 200),
+ln AS (SELECT p.Sample, p.rn // 2 AS k, p.m AS m0, p.a AS a0, (q.a - p.a) / (q.m - p.m) AS b FROM dr p JOIN dr q ON q.Sample = p.Sample AND q.rn = p.rn + 1 WHERE p.rn % 2 = 0 AND abs(q.m - p.m) > 1e-9),
+md AS (SELECT Sample, median(abs(a - med)) AS mad FROM (SELECT *, median(a) OVER (PARTITION BY Sample) AS med FROM am) GROUP BY ALL),
+ne AS (SELECT am.*, k, abs(a - a0 - b * (m - m0)) <= mad + 1e-9 AS inl FROM am JOIN ln USING (Sample) JOIN md USING (Sample)), be AS (SELECT Sample, k FROM (SELECT Sample, k, row_number() OVER (PARTITION BY Sample ORDER BY count_if(inl) DESC, k) AS r FROM ne GROUP BY Sample, k) WHERE r = 1),
+ft AS (SELECT ne.Sample, regr_slope(a, m) AS b, avg(a) AS ma, avg(m) AS mm FROM ne JOIN be ON be.Sample = ne.Sample AND be.k = ne.k WHERE inl GROUP BY ALL)
+SELECT am."INDEX", am.Sample, round(v - (coalesce(CASE WHEN isnan(b) THEN NULL ELSE b END, 0) * (m - coalesce(mm, 0)) + coalesce(ma, 0)), 6) AS v FROM am LEFT JOIN ft USING (Sample)""")
 def n8r(spark, sf_dir):
     return rounded(normalize.linear_robust(fx.logged(spark, sf_dir), fx.samples(spark, sf_dir), "local"), "v").select("INDEX", "Sample", "v")
 

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quantspark.functions.sequence import strip_extension
 from quantspark.operators.annotate import infer_replicates
@@ -34,17 +33,6 @@ def read_table(spark: SparkSession, path: str, numeric: list[str] | None = None)
     return raw.select(*((x.try_cast("double") if c in as_number else x).alias(c) for c, x in known.items()))
 
 
-def inferred(df: DataFrame) -> DataFrame:
-    """Text columns all of whose values are numbers become numbers, found in one aggregation over the whole table."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    if not texts:
-        return df
-    col = lambda c: F.col(f"`{c}`")
-    tests = [F.count_if(col(c).isNotNull() & col(c).try_cast("double").isNull()).alias(f"b{i}") for i, c in enumerate(texts)] + [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(texts)]
-    got = df.agg(*tests).first().asDict()
-    return df.withColumns({c: col(c).try_cast("double") for i, c in enumerate(texts) if got[f"n{i}"] and not got[f"b{i}"]})
-
-
 def read_annotation(spark: SparkSession, path: str) -> DataFrame:
     """FILENAME, CONDITION, REPLICATE of each run; replicates that are absent are counted by file name in each condition."""
     raw = read_table(spark, path)
@@ -58,7 +46,7 @@ def read_annotation(spark: SparkSession, path: str) -> DataFrame:
 
 def read_contaminants(spark: SparkSession, paths: list[str]) -> DataFrame:
     """accession of every FASTA header: the second |-field, or the first word where there are no bars."""
-    head = F.substring("value", 2, 10_000)
+    head = F.substring("value", F.lit(2), F.length("value"))
     named = F.split(head, r"\|")
     accession = F.when(F.size(named) > 1, F.get(named, F.lit(1))).otherwise(F.get(F.split(head, r"\s+"), F.lit(0)))
     return spark.read.text(paths).filter(F.startswith("value", F.lit(">"))).select(F.trim(accession).alias("accession")).distinct()

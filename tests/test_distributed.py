@@ -21,7 +21,7 @@ def awkward():
     }
 
 
-@pytest.mark.parametrize("most", [5, 60, 10_000])
+@pytest.mark.parametrize("most", [5, 10_000])
 def test_quantiles_are_those_of_a_sort(spark, most):
     groups, shares = awkward(), [0.0, 0.01, 0.25, 0.5, 0.999, 1.0]
     got = {(r.g, r.k): r.q for r in quantiles.quantile_table(frame(spark, groups), ["g"], "v", shares, most).collect()}
