@@ -82,7 +82,7 @@ def _known(x: Column) -> Column:
     return F.filter(x, lambda v: v.isNotNull())
 
 
-EUCLIDEAN = Measure(nan_euclidean, lambda x: F.aggregate(_known(x), F.lit(0.0), lambda t, v: t + v) / F.size(_known(x)), _box, _box_gap)
+EUCLIDEAN = Measure(nan_euclidean, lambda x: F.aggregate(_known(x), F.lit(0.0), lambda t, v: t + v) / F.greatest(F.size(_known(x)), F.lit(1)), _box, _box_gap)
 CORRELATION = Measure(correlation_distance, lambda x: F.array_position(x, F.array_max(_known(x))).cast("double"), _ball, _ball_gap)
 
 FOUND = pa.schema([("INDEX", pa.string()), ("Sample", pa.string()), ("dist", pa.float64()), ("donor", pa.string()), ("value", pa.float64())])

@@ -139,7 +139,7 @@ def test_regression_takes_out_a_trend(spark, method):
     assert close(values(done, "v"), values(normalize.normalize(c.repartition(7), method, s), "v"))
 
 
-@pytest.mark.parametrize("method", [m for m in impute.IMPUTERS if m != "rf"])
+@pytest.mark.parametrize("method", [m for m in impute.IMPUTERS if m not in ("rf", "randomforest")])
 def test_imputers_fill_gaps_and_keep_the_rest(spark, method):
     c, s = noisy(spark, 30)
     c = c.unionByName(cells(spark, {"empty": [None] * 6, "flat": [12.0, 12.0, None, 12.0, 12.0, 12.0]})).persist()
