@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import base64
 import json
-import re
 from collections.abc import Iterator
 from functools import cache, lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -25,8 +24,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 NONE = 1 << 30
 #: Up to so many parts a step of the fold merges one pair; of more, every place of the best pair at once.
 SHORT = 64
-#: Words that a worker keeps in each of two generations; others are read again from the mapped files.
-KEPT = 250_000
+#: Words that a worker remembers having sent; what is forgotten is sent again.
+KEPT = 120_000
 
 
 @cache
@@ -136,67 +135,76 @@ def _fold(word: Column, table: Column, max_steps: int) -> Column:
     return F.aggregate(F.when(n > 1, F.sequence(F.lit(2), steps)).otherwise(F.array().cast("array<int>")), start, step, lambda acc: acc["ids"].cast("array<int>"))
 
 
-#: The classes of the pattern below U+0250, for which Python's own expressions are twice as fast.
-_BLANK, _LETTER, _NUMBER = r"\t-\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
-_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
-_BEYOND = re.compile("[\u0250-\U0010ffff]")
-_ANY = regex.compile(public_tokenizers.PATTERN)
-
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 1 white space, 2 letter, 3 number, 0 any other, as the expression library of the pattern has it."""
+    out = np.zeros(0x110000, np.uint8)
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    for kind, name in enumerate((r"\s", r"\p{L}", r"\p{N}"), 1):
+        out[np.frombuffer("".join(regex.findall(name, every)).encode("utf-32-le"), np.uint32)] = kind
+    return out
 
-def _within(text: str) -> bool:
-    """Whether all characters are below U+0250; for most texts encoding tells it sooner than a search."""
-    try:
-        text.encode("latin-1")
-        return True
-    except UnicodeEncodeError:
-        return not _BEYOND.search(text)
 
+def matches(texts: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """All matches of the pattern in the texts, one after another, and how many of them stand before each text and after the last.
 
-def split(text: str) -> list[str]:
-    """All matches of the pattern."""
-    return (_LATIN if _within(text) else _ANY).findall(text)
+    Every character is in a match, so a match goes on to the start of the next. A match starts with each run of characters of one
+    kind, but for three things: a run after a blank starts at the blank, white space before a run leaves its last character
+    to another match, and an apostrophe that starts a match takes the letters of a contraction with it.
+    """
+    texts = texts.cast(pa.string())
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])) if ends[-1] > ends[0] else pa.py_buffer(b"")
+    ends -= ends[0]
+    raw = np.frombuffer(data, np.uint8)
+    if (raw < 0x80).all():
+        code, at = raw, None
+    else:
+        code = np.frombuffer(data.to_pybytes().decode().encode("utf-32-le"), np.uint32)
+        at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    n = len(code)
+    bounds = ends if at is None else np.searchsorted(at, ends)
+    kind = _kinds()[code]
+    border = np.zeros(n + 4, bool)  # as long as a contraction more, so that those at the end need no other rule
+    border[bounds] = border[n:] = True
+    start = border.copy()
+    start[1:n] |= kind[1:] != kind[:-1]
+    after = np.flatnonzero(start[1:n] & ~border[1:n] & (kind[1:] != 1) & (kind[:-1] == 1)) + 1
+    start[after - 1] = True
+    start[after[code[after - 1] == ord(" ")]] = False
+    mark = np.flatnonzero(code == ord("'"))
+    mark = mark[start[mark]]
+    letters = np.append(code, np.zeros(3, code.dtype))
+    for tail in ("s", "t", "re", "ve", "m", "ll", "d"):
+        here, size = mark, len(tail)
+        for i, letter in enumerate(tail, 1):
+            here = here[(letters[here + i] == ord(letter)) & ~border[here + i]]
+        start[here + 1] = False
+        start[here + 1 + size] = True
+    starts = np.flatnonzero(start[: n + 1])
+    cells = (starts if at is None else at[starts]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(cells), data]), np.searchsorted(starts, bounds)
 
 
 def distinct_words(rows: DataFrame) -> DataFrame:
     """word (bytes): every distinct word of the texts, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = Recent()  # only saves work: a word that is sent again is dropped by the grouping
+        sent = pa.array([], pa.binary())  # only saves work: a word that is sent again is dropped by the grouping
         for part in chain.from_iterable(map(slices, batches)):
-            words: set[str] = set()
-            for text in part.column("text").to_pylist():
-                words.update(split(text))
-            new = [w for w in words if w not in sent]
-            sent.update(dict.fromkeys(words))
-            yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in new], pa.binary())], names=["word"])
+            words = matches(part.column("text"))[0].dictionary_encode().dictionary
+            new = words.filter(pc.invert(pc.is_in(words, value_set=sent)))
+            sent = pa.concat_arrays([sent.slice(max(0, len(sent) + len(new) - KEPT)), new])
+            yield pa.RecordBatch.from_arrays([new], names=["word"])
 
     return rows.select("text").mapInArrow(run, "word binary").distinct()
 
 
-class Recent:
-    """A mapping of words in two generations of at most about KEPT each; what isn't used is forgotten."""
-
-    def __init__(self):
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def __contains__(self, word: str) -> bool:
-        return word in self.young or word in self.old
-
-    def get(self, word: str):
-        return self.young[word] if word in self.young else self.old.get(word)
-
-    def update(self, found: dict) -> None:
-        self.young.update(found)
-        if len(self.young) >= KEPT:
-            self.young, self.old = {}, self.young
-
-
 class WordIds:
     """Ids of words from mapped files: hash-b (in order), word-b and ids-b (all one after another), and where each starts."""
 
     def __init__(self, folder: str, buckets: int):
-        self.folder, self.buckets, self.kept = folder, buckets, Recent()
+        self.folder, self.buckets = folder, buckets
         self.files: dict[int, tuple[np.ndarray, pa.Array, pa.Array]] = {}
 
     def _bucket(self, b: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
@@ -207,14 +215,13 @@ class WordIds:
             self.files[b] = keys, *(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, *c]) for c in cells)
         return self.files[b]
 
-    def of(self, words: set[str]) -> dict[str, bytes]:
+    def of(self, words: pa.BinaryArray) -> pa.LargeBinaryArray:
         """The ids of each of ``words``, as little-endian 32-bit numbers."""
-        out = {w: ids for w in words if (ids := self.kept.get(w)) is not None}
-        new = [w for w in words if w not in out]
-        coded = [w.encode() for w in new]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(b, 42) for b in coded), np.uint64, len(coded))
+        _, starts, data = words.buffers()
+        whole, starts = memoryview(data or b""), np.frombuffer(starts, np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+        hashes = np.fromiter((xxhash.xxh64_intdigest(whole[a:b], 42) for a, b in pairwise(starts)), np.uint64, len(words))
         order = np.argsort(hashes, kind="stable")
-        asked = pa.array(coded, pa.large_binary())
+        asked, found = words.cast(pa.large_binary()), [pa.array([], pa.large_binary())]
         for b, part in by_bucket(hashes[order], self.buckets):
             keys, stored, ids = self._bucket(b)
             at = order[part]
@@ -224,17 +231,8 @@ class WordIds:
                 same = pc.equal(stored.take(pa.array(place[open_])), there.take(pa.array(open_)))
                 open_ = open_[~same.to_numpy(zero_copy_only=False)]
                 place[open_] += 1
-            out.update(zip(map(new.__getitem__, at.tolist()), cells_of(ids.take(pa.array(place))), strict=True))
-        self.kept.update(out)
-        return out
-
-
-def cells_of(cells: pa.LargeBinaryArray) -> Iterator[bytes]:
-    """The values of an array without nulls."""
-    _, starts, values = cells.buffers()
-    at = np.frombuffer(starts, np.int64)[cells.offset : cells.offset + len(cells) + 1].tolist()
-    whole = memoryview(values) if values else memoryview(b"")
-    return (whole[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True))
+            found.append(ids.take(pa.array(place)))
+        return pa.concat_arrays(found).take(pa.array(np.argsort(order)))
 
 
 @lru_cache(maxsize=1)
@@ -248,7 +246,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     Each match of the pattern is merged separately. All distinct words are merged once, by the fold; their ids go to the
     shared folder as arrays sorted by hash, with the words beside them, which workers map into memory to look up each
     slice's words.
-    Null and empty texts: no ids. Very long texts and words: as any other; a worker holds one text and its words. Null and
+    Null and empty texts: no ids. Very long texts and words: as any other; a worker holds some arrays as long as one text. Null and
     repeated ids and rows are encoded each. Empty table: no rows. Other columns are not read.
     """
     small_batches(df.sparkSession)
@@ -277,11 +275,12 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = _word_ids(folder, nb)
         for part in chain.from_iterable(map(slices, batches)):
-            matches = [split(t) for t in part.column("text").to_pylist()]
-            known = store.of(set(chain.from_iterable(matches)))
-            ids = [b"".join(map(known.__getitem__, words)) for words in matches]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))], names=["id", "ids"])
+            words, before = matches(part.column("text"))
+            coded = words.dictionary_encode()
+            _, starts, ids = store.of(coded.dictionary).take(coded.indices).buffers()
+            starts = np.frombuffer(starts, np.int64)[before] // 4 if len(words) else before
+            ids = pa.array(np.frombuffer(ids or b"", np.int32)[: starts[-1]])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), ids)], names=["id", "ids"])
 
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
     return out.select(F.col("id").alias(id_col), "ids")

@@ -8,7 +8,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 from tests.llm import frames
@@ -145,10 +147,23 @@ def test_words_of_equal_hash_keep_their_own_ids(tmp_path):
         save(folder, f"{name}-start-0", np.cumsum([0, *map(len, cells)], dtype=np.int64))
         save(folder, f"{name}-0", np.frombuffer(b"".join(cells), np.uint8))
     store = bpe.WordIds(folder, 1)
-    assert store.of({wanted}) == {wanted: b"\2\0\0\0\3\0\0\0"}
-    assert store.of(set()) == {}
+    words = lambda *x: pa.array([w.encode() for w in x], pa.binary())
+    assert store.of(words(wanted)).to_pylist() == [b"\2\0\0\0\3\0\0\0"]
+    assert store.of(words()).to_pylist() == []
     with pytest.raises(IndexError):
-        store.of({"absent"})
+        store.of(words("absent"))
+
+
+def test_words_of_texts_are_the_matches_of_the_pattern():
+    import random
+
+    r, pattern = random.Random(1), regex.compile(public_tokenizers.PATTERN)
+    kinds = ["'srevlmdtX 1.\n", "ab' \t1", "é漢'\u3000 \x85\xa0s²\U0001f600l\u0301", "'sl ", " \n", "'"]
+    for _ in range(3000):
+        texts = ["".join(r.choice(r.choice(kinds)) for _ in range(r.randint(0, 12))) for _ in range(r.randint(0, 5))]
+        words, before = bpe.matches(pa.array([*texts, "left out"], pa.string()).slice(0, len(texts)))
+        words = [w.decode() for w in words.to_pylist()]
+        assert [words[a:b] for a, b in zip(before, before[1:])] == [pattern.findall(t) for t in texts]
 
 
 def test_bpe_round_trip(spark):
@@ -181,7 +196,7 @@ def test_every_distinct_word_is_folded_as_the_library_merges(spark):
     for r in df.collect():
         assert r.ids == own.encode(bytes(r.word).decode(), add_special_tokens=False).ids, r.word
     docs = frames.documents(spark).fillna("", ["text"])
-    assert bpe.distinct_words(docs).count() == len({w for _, t, *_ in frames.rows() for w in bpe.split(t or "")})
+    assert bpe.distinct_words(docs).count() == len({w for _, t, *_ in frames.rows() for w in regex.findall(public_tokenizers.PATTERN, t or "")})
 
 
 def test_kneser_ney_is_a_distribution_and_matches_brute_force(spark):
