@@ -103,33 +103,36 @@ def moderated(stats: DataFrame, d0: float | Column, s0: float | Column, by: tupl
     return out.withColumn("p_mod", t_pvalue(F.col("t_mod"), F.col("df_total"))).drop("_all")
 
 
-def bh(stats: DataFrame, p: str = "p", out: str = "q", by: tuple[str, ...] = ("contrast",)) -> DataFrame:
-    """Benjamini-Hochberg q-values for each contrast; null p has null q and doesn't count, ties share one q."""
-    ok = F.col(p).isNotNull()
-    rank = F.cume_dist().over(Window.partitionBy(*by, ok).orderBy(p))
-    at = stats.withColumn("_share", F.when(ok, F.col(p) / rank))
-    low = F.min("_share").over(Window.partitionBy(*by, ok).orderBy(F.desc(p)))
-    return at.withColumn(out, F.when(ok, F.least(F.lit(1.0), low))).drop("_share")
+def _joined(a: DataFrame, b: DataFrame, on: tuple[str, ...], how: str = "inner") -> DataFrame:
+    """Join where the columns ``on`` are equal, null with null."""
+    b = b.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    return a.join(b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on], how).drop(*[f"_on_{c}" for c in on])
 
 
-def bh_large(stats: DataFrame, p: str = "p", out: str = "q", bins: int = 100_000, by: tuple[str, ...] = ("contrast",)) -> DataFrame:
-    """The same for contrasts with very many features: no window holds more than one bin of p-values.
+def bh(stats: DataFrame, p: str | tuple[str, ...] = "p", out: str | tuple[str, ...] = "q", by: tuple[str, ...] = ("contrast",), bins: int = 1000) -> DataFrame:
+    """Benjamini-Hochberg q-values for each contrast; null p has null q and doesn't count, ties share one q.
 
-    Counts of each (contrast, bin) give ranks of a bin's first p; minima of bins above give the running minimum.
+    Several columns of p-values are corrected each for itself, into the columns ``out``. Equal p-values are counted first, and the
+    distinct ones are sorted within bins, ``bins`` to each factor of e, so that no window grows with the features of a contrast:
+    counts of smaller bins give ranks, minima of larger bins the running minimum.
     """
-    keyed = stored(stats.withColumn("_bin", F.least(F.floor(F.col(p) * bins), F.lit(bins - 1))), "p-values")  # read several times
-    known = keyed.filter(F.col(p).isNotNull())
-    sizes = known.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    up = Window.partitionBy(*by).orderBy("_bin")
-    sizes = sizes.withColumn("_below", F.sum("_n").over(up) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
-    inside = Window.partitionBy(*by, "_bin").orderBy(p)
-    at = known.join(sizes, [*by, "_bin"]).withColumn("_share", F.col(p) * F.col("_all") / (F.col("_below") + F.count(F.lit(1)).over(inside)))
-    lows = at.groupBy(*by, "_bin").agg(F.min("_share").alias("_low"))
-    above = Window.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    lows = lows.withColumn("_later", F.min("_low").over(above)).select(*by, "_bin", "_later")
-    own = F.min("_share").over(Window.partitionBy(*by, "_bin").orderBy(F.desc(p)))
-    done = at.join(lows, [*by, "_bin"]).withColumn(out, F.least(F.lit(1.0), own, F.col("_later")))
-    return done.select(*stats.columns, out).unionByName(keyed.filter(F.col(p).isNull()).drop("_bin").withColumn(out, F.lit(None).cast("double")))
+    pairs = [(p, out)] if isinstance(p, str) else list(zip(p, out, strict=True))
+    known = stored(stats, "p-values")  # read several times
+    done = known
+    for p, out in pairs:
+        ties = known.filter(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        ties = ties.withColumn("_bin", F.floor(F.ln(F.greatest("_p", F.lit(1e-300))) * bins))
+        up = Window.partitionBy(*by, "_bin").orderBy("_p")
+        sizes = ties.groupBy(*by, "_bin").agg(F.sum("_n").alias("_size"))
+        sizes = sizes.withColumn("_below", F.sum("_size").over(Window.partitionBy(*by).orderBy("_bin")) - F.col("_size")).withColumn("_all", F.sum("_size").over(Window.partitionBy(*by)))
+        at = _joined(ties, sizes, (*by, "_bin")).withColumn("_share", F.col("_p") * F.col("_all") / (F.col("_below") + F.sum("_n").over(up)))
+        lows = at.groupBy(*by, "_bin").agg(F.min("_share").alias("_low"))
+        above = Window.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+        lows = lows.withColumn("_later", F.min("_low").over(above)).select(*by, "_bin", "_later")
+        own = F.min("_share").over(Window.partitionBy(*by, "_bin").orderBy(F.desc("_p")))
+        found = _joined(at, lows, (*by, "_bin")).select(*by, "_p", F.least(F.lit(1.0), own, F.col("_later")).alias(out))
+        done = _joined(done.withColumn("_p", F.col(p)), found, (*by, "_p"), "left").drop("_p")
+    return done
 
 
 def missing_mask(observed: DataFrame, contrasts: DataFrame) -> DataFrame:
@@ -143,8 +146,7 @@ def neutralized(stats: DataFrame, mask: DataFrame, p: tuple[str, ...] = ("p",),
     """Masked p-values are 1 before the correction; afterwards masked rows say nothing: fold change and t 0, p and q 1, infinite SE."""
     at = stats.join(mask.select("INDEX", "contrast", "masked"), ["INDEX", "contrast"], "left").withColumn("masked", F.coalesce("masked", F.lit(False)))
     at = at.withColumns({x: F.when(F.col("masked"), 1.0).otherwise(F.col(x)) for x in p})
-    for x in p:
-        at = bh(at, x, "q" + x[1:])
+    at = bh(at, p, tuple("q" + x[1:] for x in p))
     zero = {x: F.when(F.col("masked"), 0.0).otherwise(F.col(x)) for x in ("log2fc", *t)}
     return at.withColumns({**zero, "se": F.when(F.col("masked"), float("inf")).otherwise(F.col("se"))})
 

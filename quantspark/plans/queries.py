@@ -590,7 +590,7 @@ def d7(spark, sf_dir):
 
 @query("w3_bh_large", 'SELECT "INDEX", contrast, round(least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)), 6) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv)')
 def w3(spark, sf_dir):
-    return rounded(differential.bh_large(_stats(spark, sf_dir), bins=500), "q").select("INDEX", "contrast", "q")
+    return rounded(differential.bh(_stats(spark, sf_dir), bins=20), "q").select("INDEX", "contrast", "q")
 
 
 @query("w8_top_hits", """, bq AS (SELECT *, least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv)),
@@ -602,10 +602,11 @@ def w8(spark, sf_dir):
     return differential.top_hits(stats, mask, 5, below=0.999).select("INDEX", "contrast", "direction", "rank")
 
 
-@query("d17_tested", 'SELECT "INDEX", contrast, round(CASE WHEN se > 0.5 THEN t END, 6) AS t FROM st')
+@query("d17_tested", """, tq AS (SELECT "INDEX", contrast, p, least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv WHERE se > 0.5))
+SELECT "INDEX", contrast, round(CASE WHEN st.se > 0.5 THEN st.t END, 6) AS t, round(tq.p, 6) AS p, round(tq.q, 6) AS q FROM st LEFT JOIN tq USING ("INDEX", contrast)""")
 def d17(spark, sf_dir):
     fc = _stats(spark, sf_dir).select("INDEX", "contrast", "log2fc", F.when(F.col("se") > 0.5, F.col("se")).otherwise(0.0).alias("se"), "df")
-    return rounded(differential.tested(fc), "t").select("INDEX", "contrast", "t")
+    return rounded(differential.tested(fc), "t", "p", "q").select("INDEX", "contrast", "t", "p", "q")
 
 
 _COV = """, cv AS (SELECT PARENT_PROTEIN, FILENAME AS Sample, log2(avg(SIGNAL)) AS c FROM kept WHERE IS_COVARIATE GROUP BY ALL), cc AS (SELECT d."INDEX", d.Sample, d.CONDITION, d.v, cv.c FROM det d JOIN (SELECT DISTINCT "INDEX", PARENT_PROTEIN FROM kept) p USING ("INDEX") LEFT JOIN cv ON cv.PARENT_PROTEIN = p.PARENT_PROTEIN AND cv.Sample = d.Sample),

@@ -166,13 +166,32 @@ def test_boosted_trees_fill(spark):
 
 
 def test_bh_with_ties_nulls_and_bins(spark):
-    p = [0.01, 0.01, 0.04, 0.03, None, 0.9, 1.0, 1.0]
-    df = spark.createDataFrame([("c", i, v) for i, v in enumerate(p)], "contrast string, i int, p double")
-    known = sorted(v for v in p if v is not None)
-    want = {v: min(min(1.0, w * len(known) / (np.searchsorted(known, w, "right"))) for w in known if w >= v) for v in known}
-    for q in (differential.bh(df), differential.bh_large(df, bins=5)):
-        for r in q.collect():
-            assert r.q is None if r.p is None else r.q == pytest.approx(want[r.p])
+    rng = np.random.default_rng(5)
+    groups = {"c": [0.01, 0.01, 0.04, 0.03, None, 0.9, 1.0, 1.0], "one": [0.2], "none": [None, None], None: [0.5, 0.001]}
+    groups["many"] = [0.0, 0.0, 1e-305, *(10 ** -rng.uniform(0, 12, 300)), *[1.0] * 150, *rng.uniform(0, 1, 200).round(2)]
+    df = spark.createDataFrame([(c, i, v, v and v / 2) for c, ps in groups.items() for i, v in enumerate(map(lambda v: v if v is None else float(v), ps))], "contrast string, i int, p double, r double")
+
+    def want(ps):
+        known = np.sort([p for p in ps if p is not None])
+        share = known * len(known) / np.searchsorted(known, known, "right")
+        low = np.minimum(1, np.minimum.accumulate(share[::-1])[::-1]) if len(known) else known
+        return dict(zip(known.tolist(), low.tolist()))
+
+    for q in (differential.bh(df), differential.bh(df, bins=1), differential.bh(df, ("p", "r"), ("q", "s"), bins=3)):
+        assert q.count() == df.count()
+        for c, ps in groups.items():
+            of = want(ps)
+            for r in q.filter(F.col("contrast").eqNullSafe(F.lit(c))).collect():
+                assert r.q is None if r.p is None else r.q == pytest.approx(of[r.p], abs=1e-12)
+                if "s" in q.columns and r.p is not None:
+                    assert r.s == pytest.approx(of[r.p] / 2 if of[r.p] < 1 else r.s, abs=1e-12)
+
+
+def test_bh_bins_hold_few_distinct_values(spark):
+    df = spark.range(20_000).select(F.lit("c").alias("contrast"), F.when(F.col("id") % 3 == 0, 1.0).otherwise((F.col("id") + 1) / 20_001).alias("p"))
+    bins = df.distinct().groupBy(F.floor(F.ln("p") * 1000)).count().agg(F.max("count")).first()[0]
+    assert bins < 60  # a third of all rows is one value, and no bin has more than a thousandth of the others' range
+    assert differential.bh(df).filter("p = 1").select("q").distinct().collect() == [(1.0,)]
 
 
 def test_differential_against_numpy(spark):
