@@ -109,16 +109,23 @@ def _joined(a: DataFrame, b: DataFrame, on: tuple[str, ...], how: str = "inner")
     return a.join(b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on], how).drop(*[f"_on_{c}" for c in on])
 
 
-def bh(stats: DataFrame, p: str | tuple[str, ...] = "p", out: str | tuple[str, ...] = "q", by: tuple[str, ...] = ("contrast",), bins: int = 1000) -> DataFrame:
+def bh(stats: DataFrame, p: str | tuple[str, ...] = "p", out: str | tuple[str, ...] = "q", by: tuple[str, ...] = ("contrast",), bins: int = 1000, most: int = 1_000_000) -> DataFrame:
     """Benjamini-Hochberg q-values for each contrast; null p has null q and doesn't count, ties share one q.
 
-    Several columns of p-values are corrected each for itself, into the columns ``out``. Equal p-values are counted first, and the
-    distinct ones are sorted within bins, ``bins`` to each factor of e, so that no window grows with the features of a contrast:
+    Several columns of p-values are corrected each for itself, into the columns ``out``. Contrasts of at most ``most`` rows take a
+    window each. Where one is larger, equal p-values are counted first, and the distinct ones are sorted within bins, ``bins`` to each factor of e, so that no window grows with the features of a contrast:
     counts of smaller bins give ranks, minima of larger bins the running minimum.
     """
     pairs = [(p, out)] if isinstance(p, str) else list(zip(p, out, strict=True))
     known = stored(stats, "p-values")  # read several times
     done = known
+    if (known.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= most:
+        for p, out in pairs:
+            ok = F.col(p).isNotNull()
+            of = Window.partitionBy(*by, ok)
+            done = done.withColumn("_share", F.when(ok, F.col(p) / F.cume_dist().over(of.orderBy(p))))
+            done = done.withColumn(out, F.when(ok, F.least(F.lit(1.0), F.min("_share").over(of.orderBy(F.desc(p)))))).drop("_share")
+        return done
     for p, out in pairs:
         ties = known.filter(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
         ties = ties.withColumn("_bin", F.floor(F.ln(F.greatest("_p", F.lit(1e-300))) * bins))

@@ -590,7 +590,7 @@ def d7(spark, sf_dir):
 
 @query("w3_bh_large", 'SELECT "INDEX", contrast, round(least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)), 6) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv)')
 def w3(spark, sf_dir):
-    return rounded(differential.bh(_stats(spark, sf_dir), bins=20), "q").select("INDEX", "contrast", "q")
+    return rounded(differential.bh(_stats(spark, sf_dir), bins=20, most=0), "q").select("INDEX", "contrast", "q")
 
 
 @query("w8_top_hits", """, bq AS (SELECT *, least(1, min(p / cd) OVER (PARTITION BY contrast ORDER BY p DESC)) AS q FROM (SELECT *, cume_dist() OVER (PARTITION BY contrast ORDER BY p) AS cd FROM pv)),
