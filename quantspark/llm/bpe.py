@@ -84,8 +84,9 @@ def merged(word: Column, vocabulary: str = VOCABULARY) -> Column:
 def _fold(word: Column, table: Column, max_steps: int) -> Column:
     """The state is ids, and the rank of each id with its right neighbour.
 
-    A step merges the leftmost best pair. Among many parts it merges all its places, from the left, as pairs that
-    arise have ranks above that of the pair they arise from; so steps follow the distinct merges, not the length.
+    A step merges the leftmost best pair. Among many parts it merges all its places, from the left, so that steps follow
+    the distinct merges, not the length. That gives the library's ids where no pair that a merge makes with a neighbour
+    ranks before the merged pair and takes a part of another of its places; no word is known where it does with these ranks.
     """
     nothing = F.array().cast("array<bigint>")
 

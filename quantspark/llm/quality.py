@@ -199,8 +199,8 @@ def score(stats: DataFrame, model: QualityModel) -> DataFrame:
     return stats.mapInArrow(run, schema)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """STATS, base_failed, score and kept of every document.
+def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """STATS, base_failed, score and kept of every document; ``id_col`` names the id of both tables.
 
     Null or empty text: no words, so the base rules fail. Null ids are judged but have no label; repeated ids and rows
     are judged each; one id with several labels has the lowest. Very long texts: whole, one at a time. A score equal to
@@ -208,7 +208,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     rules'. Other columns are not read.
     """
     stats = staged(with_statistics(docs, id_col, text_col), "statistics")
-    model = fit(stats, labels)
+    model = fit(stats, labels, id_col, label_col)
     out = score(stats, model).withColumn("kept", ~F.col("base_failed") & (F.col("score") <= model.threshold))
     return out.select(F.col("id").alias(id_col), *STATS, "base_failed", "score", "kept")
 

@@ -62,6 +62,17 @@ def test_toxicity_on_odd_rows(spark):
     assert all(r.predicted == 0 for r in toxicity.toxicity(docs, labels.limit(0)).collect())
 
 
+def test_quality_under_other_names_and_as_a_stage(spark):
+    docs = frames.documents(spark)
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(60)], "doc_id long, quality int")
+    verdict = lambda rows: sorted((r[0], r[1], r.base_failed, r.kept) for r in rows.drop("score").collect() if r[0] is not None)
+    plain = verdict(quality.quality_rules(docs, labels))
+    named = docs.select(F.col("doc_id").alias("k"), F.col("text").alias("body"))
+    assert verdict(quality.quality_rules(named, labels.toDF("k", "good"), "k", "body", "good")) == plain
+    assert quality.quality_rules(frames.nothing(spark), labels).count() == 0
+    assert all(r[3] != r[2] for r in verdict(quality.quality_rules(docs, labels.limit(0))))
+
+
 def toxic_rows():
     r = random.Random(4)
     texts = frames.texts(900, 8)
