@@ -33,7 +33,7 @@ def missed_cleavages(df: DataFrame, sequence: str = "PEPTIDE_LSEQ", positive_onl
 
 def missing_counts(grid: DataFrame, samples: DataFrame, value: str = "raw") -> DataFrame:
     """INDEX, CONDITION, n_missing, n_observed over the complete grid."""
-    at = grid.join(samples.select("Sample", "CONDITION"), "Sample")
+    at = grid.join(F.broadcast(samples.select("Sample", "CONDITION")), "Sample")  # a row a sample
     return at.groupBy("INDEX", "CONDITION").agg(F.count_if(F.col(value).isNull()).alias("n_missing"), F.count(value).alias("n_observed"))
 
 

@@ -14,3 +14,42 @@ def test_first_value_of_tied_places_is_the_least(spark, peptides):
     rows = [("f", 1, 1, p) for p in peptides] + [("f", 1, 2, "0"), ("f", 0, 9, None)]
     df = spark.createDataFrame(rows, "INDEX string, ORDERKEY long, CHARGE int, PEPTIDE_LSEQ string").coalesce(1)
     assert rollup.features(df, ["PEPTIDE_LSEQ"], ["ORDERKEY", "CHARGE"]).first().PEPTIDE_LSEQ == "A"
+
+
+@pytest.mark.parametrize("bin_most", [10**6, 3])
+def test_binned_correction_sorts_each_row_once(spark, bin_most):
+    r = np.random.default_rng(11)
+    p = np.concatenate([np.zeros(5), r.uniform(0, 1, 300), np.full(90, 0.25), r.uniform(0, 1e-4, 60), np.ones(40)])
+    df = spark.createDataFrame([(c, i, float(v)) for c in ("a", None) for i, v in enumerate(p)] + [("a", -1, None)], "contrast string, i int, p double").repartition(5)
+    got = differential.bh(df, bins=20, most=0, bin_most=bin_most)
+    plan = got._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert "hashpartitioning" not in plan or bin_most == 3  # what is left to do moves no row
+    order = np.sort(p)
+    share = np.minimum.accumulate((order * len(p) / np.searchsorted(order, order, "right"))[::-1])[::-1]
+    for x in got.collect():
+        assert x.q is None if x.p is None else math.isclose(x.q, min(1.0, share[np.searchsorted(order, x.p)]), rel_tol=1e-12)
+    assert got.count() == df.count()
+
+
+def test_grid_keeps_features_together(spark):
+    cells = spark.createDataFrame([("f", "s1", 1.0, 2), ("f", "s1", 3.0, 4), ("g", "s2", None, 5), (None, "s1", 6.0, 7), ("h", "else", 8.0, 9)], "INDEX string, Sample string, raw double, n int")
+    samples = spark.createDataFrame([("s1",), ("s2",)], "Sample string")
+    got = reshape.complete_grid(cells, samples)
+    assert got.columns == ["INDEX", "Sample", "raw", "n"] and [x.dataType for x in got.schema] == [x.dataType for x in cells.schema]
+    key = lambda x: tuple((v is None, v) for v in x)
+    want = [("f", "s1", 1.0, 2), ("f", "s1", 3.0, 4), ("f", "s2", None, None), ("g", "s1", None, None), ("g", "s2", None, 5), ("h", "s1", None, None), ("h", "s2", None, None), (None, "s1", None, None), (None, "s2", None, None)]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    plan = got.groupBy("INDEX", "Sample").count()._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("hashpartitioning") == 1
+
+
+def test_contrasts_need_no_join_of_conditions(spark):
+    groups = spark.createDataFrame([("f", "A", 1.0, 3), ("f", "B", 2.0, 3), ("g", "A", 1.0, 2), ("f", None, 9.0, 1)], "INDEX string, CONDITION string, mean double, n long")
+    pooled = spark.createDataFrame([("f", 0.5, 4), ("g", 0.5, 1)], "INDEX string, s2 double, df long")
+    contrasts = spark.createDataFrame([("A_vs_B", "A", "B")], "contrast string, A string, B string")
+    got = differential.contrasts_of(groups, pooled, contrasts)
+    x = got.collect()
+    assert [(r.INDEX, r.contrast, r.log2fc, r.df) for r in x] == [("f", "A_vs_B", -1.0, 4)] and x[0].t == pytest.approx(-1 / math.sqrt(0.5 * 2 / 3))
+    seen = differential.missing_mask(groups.select("INDEX", "CONDITION", (F.col("n") - 3).alias("n_observed")), contrasts)
+    assert seen._jdf.queryExecution().toString().split("Physical Plan")[-1].count("hashpartitioning") == 1
+    assert [(r.INDEX, r.n_a, r.n_b, r.masked) for r in seen.collect()] == [("f", 0, 0, True)]
