@@ -53,3 +53,30 @@ def test_contrasts_need_no_join_of_conditions(spark):
     seen = differential.missing_mask(groups.select("INDEX", "CONDITION", (F.col("n") - 3).alias("n_observed")), contrasts)
     assert seen._jdf.queryExecution().toString().split("Physical Plan")[-1].count("hashpartitioning") == 1
     assert [(r.INDEX, r.n_a, r.n_b, r.masked) for r in seen.collect()] == [("f", 0, 0, True)]
+
+
+def spread_cells(spark, features, samples=3, seed=12):
+    r = np.random.default_rng(seed)
+    v = r.normal(20, 3, (features, samples)) + np.arange(samples)
+    v[r.random(v.shape) < 0.2] = np.nan
+    rows = [(f"f{i:04d}", f"s{j}", None if np.isnan(x) else float(x)) for i, of in enumerate(v) for j, x in enumerate(of)]
+    return v, spark.createDataFrame(rows, "INDEX string, Sample string, v double").repartition(5)
+
+
+def test_no_cell_meets_a_grid_or_a_line_as_a_row(spark):
+    """Grids, curves and lines are looked up in place: no join carries an array or a hundred lines to each cell, no window holds a sample."""
+    _, c = spread_cells(spark, 40)
+    s = spark.createDataFrame([(f"s{j}", "A") for j in range(3)], "Sample string, CONDITION string")
+    for out in (normalize.quantile_uniform(c, most=7), normalize.linear_robust(c, s), normalize.loess(c, s, exact=10, knots=9)):
+        plan = out._jdf.queryExecution().toString().split("Physical Plan")[-1]
+        assert "array<double>" not in plan and "lambda" not in plan and "percent_rank" not in plan and "hashpartitioning(Sample" not in plan
+
+
+def test_ranks_over_all_tasks(spark):
+    _, c = spread_cells(spark, 200)
+    points = c.filter("v IS NOT NULL").select("INDEX", "Sample", F.round("v").alias("M"), "v")
+    got = {(r.Sample, r.INDEX): (r["rank"], r.n) for r in normalize._ranks(points).collect()}
+    rows = sorted((r.Sample, r.M, r.INDEX) for r in points.collect())
+    for s in ("s0", "s1", "s2"):
+        own = [x for x in rows if x[0] == s]
+        assert all(got[s, x[2]] == (i, len(own)) for i, x in enumerate(own, 1))
