@@ -80,3 +80,35 @@ def test_ranks_over_all_tasks(spark):
     for s in ("s0", "s1", "s2"):
         own = [x for x in rows if x[0] == s]
         assert all(got[s, x[2]] == (i, len(own)) for i, x in enumerate(own, 1))
+
+
+@pytest.mark.parametrize(("impute_by", "k"), [(impute.knn_features, 3), (impute.knn_correlated, 3)])
+def test_equal_features_are_looked_up_once(spark, monkeypatch, impute_by, k):
+    """Copies of features are one class; every gap has what a search among all features gives it."""
+    v, c = spread_cells(spark, 14, 5)
+    x = np.repeat(v, [1, 5, 2, 1, 3, 1, 1, 6, 1, 1, 2, 1, 1, 1], axis=0)
+    x[6] = [np.nan, 2.0, np.nan, np.nan, np.nan]  # without spread
+    r = np.random.default_rng(3)
+    names = [f"g{i:03d}" for i in r.permutation(len(x))]
+    c = spark.createDataFrame([(n, f"s{j}", None if np.isnan(w) else float(w)) for n, row in zip(names, x) for j, w in enumerate(row)], "INDEX string, Sample string, v double").repartition(4)
+    seen, search = [], impute.feature_donors
+    monkeypatch.setattr(impute, "feature_donors", lambda cells, *rest: seen.append(cells.select("INDEX").distinct().count()) or search(cells, *rest))
+    got = {(q.INDEX, q.Sample): q.v for q in impute_by(c, k).collect()}
+    assert seen == [len({str(row) for row in x})]
+    euclid = impute_by is impute.knn_features
+    low, z = np.nanmin(x), x
+    mu, sd = np.nanmean(x, 1, keepdims=True), np.nanstd(x, 1, keepdims=True)
+    sd = np.where(sd > 0, sd, 1e-8)
+    if not euclid:
+        z = (x - mu) / sd
+    d = (impute.EUCLIDEAN if euclid else impute.CORRELATION).distances(z, z)
+    d = np.round(d, 12)
+    np.fill_diagonal(d, np.inf)
+    for i, j in zip(*np.nonzero(np.isnan(x))):
+        order = [o for _, _, o in sorted((d[i, o], names[o], o) for o in range(len(x))) if np.isfinite(d[i, o]) and (not euclid or not np.isnan(x[o, j]))][:k]
+        if euclid:
+            want = np.mean([x[o, j] for o in order]) if order else np.nanmean(x[:, j])
+        else:
+            w = [(1 / (d[i, o] + 1e-6), z[o, j]) for o in order if not np.isnan(z[o, j])]
+            want = sum(a * b for a, b in w) / sum(a for a, _ in w) * sd[i, 0] + mu[i, 0] if w else low
+        assert got[names[i], f"s{j}"] == pytest.approx(want, rel=1e-6), (i, j)
