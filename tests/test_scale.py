@@ -112,3 +112,12 @@ def test_equal_features_are_looked_up_once(spark, monkeypatch, impute_by, k):
             w = [(1 / (d[i, o] + 1e-6), z[o, j]) for o in order if not np.isnan(z[o, j])]
             want = sum(a * b for a, b in w) / sum(a for a, _ in w) * sd[i, 0] + mu[i, 0] if w else low
         assert got[names[i], f"s{j}"] == pytest.approx(want, rel=1e-6), (i, j)
+
+
+def test_few_parents_gather_no_cells(spark):
+    cells = spark.createDataFrame([(f"f{i}", "s", float(i)) for i in range(9)], "INDEX string, Sample string, v double").repartition(3)
+    parents = cells.select("INDEX", F.lit("p").alias("PARENT_PROTEIN"))
+    own = spark.createDataFrame([("p", "s", 1.0)], "PARENT_PROTEIN string, Sample string, covariate double").groupBy("PARENT_PROTEIN", "Sample").agg(F.sum("covariate").alias("covariate"))
+    out = rollup.with_covariate(cells, parents, own)
+    assert "hashpartitioning(PARENT_PROTEIN" not in out._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert out.filter("covariate = 1").count() == 9
