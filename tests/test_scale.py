@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantspark.operators import differential, impute, normalize, reshape, rollup
+from quantspark.plans import fixtures, queries
 
 
 @pytest.mark.parametrize("peptides", ["AB", "BA"])
@@ -121,3 +122,70 @@ def test_few_parents_gather_no_cells(spark):
     out = rollup.with_covariate(cells, parents, own)
     assert "hashpartitioning(PARENT_PROTEIN" not in out._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert out.filter("covariate = 1").count() == 9
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def physical(df):
+    return df._jdf.queryExecution().toString().split("Physical Plan")[-1]
+
+
+def test_line_items_are_dealt_by_feature_once(spark, monkeypatch):
+    """A large input has tasks of bounded size, and what goes on by feature moves no row again."""
+    small = fixtures.long_table(spark, SF)
+    lines = fixtures.read(spark, SF, "lineitem").count()
+    monkeypatch.setattr(fixtures, "TASK_ROWS", lines // 9)
+    large = fixtures.long_table(spark, SF)
+    assert large.rdd.getNumPartitions() == -(-lines // (lines // 9)) and large.columns == small.columns
+    assert large.exceptAll(small).isEmpty() and large.count() == small.count()
+    cells = fixtures.grid(spark, SF).groupBy("INDEX", "Sample").agg(F.max("raw"))
+    assert physical(cells).count("hashpartitioning(INDEX") == 1 and "hashpartitioning(l_partkey" not in physical(cells)
+
+
+@pytest.mark.parametrize("name", ["i5_knn_samples"])
+def test_queries_on_dealt_line_items_give_the_same(spark, monkeypatch, name):
+    rows = lambda df: sorted((tuple(x) for x in df.collect()), key=str)
+    want = rows(queries.QUERIES[name](spark, SF))
+    spark.catalog.clearCache()
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 400)
+    got = queries.QUERIES[name](spark, SF)
+    plan = physical(got).split("InMemoryRelation")[0]
+    assert "hashpartitioning(FILENAME" not in plan and "hashpartitioning(CONDITION" not in plan and "hashpartitioning(Sample" not in plan
+    for a, b in zip(rows(got), want, strict=True):
+        assert all(x == y or x == pytest.approx(y, abs=2e-6) for x, y in zip(a, b))
+    spark.catalog.clearCache()
+
+
+def by_feature(cells):
+    return cells.repartition(6, "INDEX")
+
+
+def test_gaps_meet_no_donors_by_join(spark):
+    v, cells = spread_cells(spark, 60, 6)
+    cells = cells.withColumn("raw", F.pow(F.lit(2.0), "v")).filter("INDEX <> 'f0003' OR Sample <> 's1'")
+    v[3, 1] = np.nan
+    more = [("same", f"s{j}", 0.1 if j < 5 else None, None) for j in range(6)] + [("none", f"s{j}", None, None) for j in range(6)] + [(None, "s0", None, None), (None, "s0", 4.0, 16.0)]
+    cells = by_feature(cells.unionByName(spark.createDataFrame(more, "INDEX string, Sample string, v double, raw double")))
+    out = impute.knn_samples(cells, 3)
+    plan = physical(out)
+    assert out.columns == ["INDEX", "Sample", "v", "raw", "imputed"] and "SortMergeJoin" not in plan and "hashpartitioning(INDEX, dst" not in plan and "hashpartitioning(INDEX, Sample" not in plan
+    x = np.vstack([v, [0.1] * 5 + [np.nan]])
+    sd = np.nanstd(x, 1, keepdims=True)
+    sd[-1] = 1
+    z = (x - np.nanmean(x, 1, keepdims=True)) / sd
+    d = np.sqrt([[np.nanmean((z[:, a] - z[:, b]) ** 2) for b in range(6)] for a in range(6)])
+    np.fill_diagonal(d, np.inf)
+    found = {(q.src, q.dst): q.dist for q in impute.sample_distances(cells).collect()}
+    assert len(found) == 30 and all(math.isclose(found[f"s{a}", f"s{b}"], d[a, b], rel_tol=1e-9) for a in range(6) for b in range(6) if a != b)
+    low = np.nanmin(x, 1)
+    rows = out.collect()
+    assert len(rows) == cells.count() and all(q.raw is None or q.raw == pytest.approx(2**q.v) for q in rows if not q.imputed)
+    for q in rows:
+        if q.INDEX is None or q.INDEX == "none":
+            assert q.v == (0.0 if q.imputed else 4.0)
+            continue
+        i, j = (60 if q.INDEX == "same" else int(q.INDEX[1:])), int(q.Sample[1:])
+        near = np.argsort(d[j], kind="stable")[:3]
+        want = x[i, j] if not q.imputed else np.mean([low[i] if np.isnan(x[i, o]) else x[i, o] for o in near])
+        assert q.imputed == np.isnan(x[i, j]) and q.v == pytest.approx(want, rel=1e-9)
