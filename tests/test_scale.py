@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantspark.operators import differential, impute, normalize, reshape, rollup
+from quantspark.operators import differential, filters, impute, normalize, reshape, rollup
 from quantspark.plans import fixtures, queries
 
 
@@ -143,7 +143,7 @@ def test_line_items_are_dealt_by_feature_once(spark, monkeypatch):
     assert physical(cells).count("hashpartitioning(INDEX") == 1 and "hashpartitioning(l_partkey" not in physical(cells)
 
 
-@pytest.mark.parametrize("name", ["j14_peptide_table", "i5_knn_samples"])
+@pytest.mark.parametrize("name", ["f11_localization", "j14_peptide_table", "i5_knn_samples"])
 def test_queries_on_dealt_line_items_give_the_same(spark, monkeypatch, name):
     rows = lambda df: sorted((tuple(x) for x in df.collect()), key=str)
     want = rows(queries.QUERIES[name](spark, SF))
@@ -157,6 +157,14 @@ def test_queries_on_dealt_line_items_give_the_same(spark, monkeypatch, name):
     spark.catalog.clearCache()
 
 
+@pytest.mark.parametrize("mode", ["soft", "strict"])
+def test_localization_joins_no_cells(spark, mode):
+    cells = spark.createDataFrame([("f", "a", 0.9), ("f", "b", 0.2), ("g", "a", 0.8), ("g", "b", None), ("h", "a", None), (None, "a", 0.9), ("i", "a", 0.1)], "INDEX string, Sample string, LOC_PROB double")
+    got = filters.localization_filter(cells, 0.75, mode)
+    assert "Join" not in physical(got) and got.columns == cells.columns
+    assert {(r.INDEX, r.Sample) for r in got.collect()} == {("g", "a"), ("g", "b")} | ({("f", "a"), ("f", "b")} if mode == "soft" else set())
+
+
 def by_feature(cells):
     return cells.repartition(6, "INDEX")
 
