@@ -143,7 +143,7 @@ def test_line_items_are_dealt_by_feature_once(spark, monkeypatch):
     assert physical(cells).count("hashpartitioning(INDEX") == 1 and "hashpartitioning(l_partkey" not in physical(cells)
 
 
-@pytest.mark.parametrize("name", ["f11_localization", "j14_peptide_table", "i5_knn_samples"])
+@pytest.mark.parametrize("name", ["f11_localization", "j14_peptide_table", "i3_condition_median", "i5_knn_samples"])
 def test_queries_on_dealt_line_items_give_the_same(spark, monkeypatch, name):
     rows = lambda df: sorted((tuple(x) for x in df.collect()), key=str)
     want = rows(queries.QUERIES[name](spark, SF))
@@ -197,3 +197,28 @@ def test_gaps_meet_no_donors_by_join(spark):
         near = np.argsort(d[j], kind="stable")[:3]
         want = x[i, j] if not q.imputed else np.mean([low[i] if np.isnan(x[i, o]) else x[i, o] for o in near])
         assert q.imputed == np.isnan(x[i, j]) and q.v == pytest.approx(want, rel=1e-9)
+
+
+def test_conditions_meet_their_cells_in_one_row(spark):
+    v, cells = spread_cells(spark, 30, 6)
+    unknown = spark.createDataFrame([("f0000", "s9", None), (None, "s0", None), (None, "s1", 7.0)], "INDEX string, Sample string, v double")
+    samples = spark.createDataFrame([(f"s{j}", "AB"[j > 2]) for j in range(6)] + [("s9", None)], "Sample string, CONDITION string")
+    cells = by_feature(cells.unionByName(unknown))
+    out = impute.condition_median(cells, samples)
+    plan = physical(out)
+    assert "SortMergeJoin" not in plan and "hashpartitioning(INDEX, CONDITION" not in plan and out.columns == ["INDEX", "Sample", "v", "imputed"]
+    rows, lod = out.collect(), np.median(sorted([*v[~np.isnan(v)], 7.0])[:10])
+    assert len(rows) == 30 * 6 + 3
+    bounds = {(b.INDEX, b.CONDITION): b for b in impute.condition_bounds(cells, samples).collect()}
+    for q in rows:
+        known = q.INDEX is not None and q.Sample != "s9"
+        own = v[int(q.INDEX[1:]), slice(0, 3) if q.Sample < "s3" else slice(3, 6)] if known else np.array([])
+        own = own[~np.isnan(own)]
+        if not q.imputed:
+            continue
+        if not len(own):
+            assert q.v <= lod
+            continue
+        b = bounds[q.INDEX, "A" if q.Sample < "s3" else "B"]
+        assert (b.n, b.center, b.lower, b.upper) == (len(own), *(pytest.approx(np.quantile(own, p), rel=1e-12) for p in (0.5, 0.25, 0.75)))
+        assert b.lower <= q.v <= b.upper
