@@ -143,7 +143,7 @@ def test_line_items_are_dealt_by_feature_once(spark, monkeypatch):
     assert physical(cells).count("hashpartitioning(INDEX") == 1 and "hashpartitioning(l_partkey" not in physical(cells)
 
 
-@pytest.mark.parametrize("name", ["f11_localization", "j14_peptide_table", "i3_condition_median", "i5_knn_samples"])
+@pytest.mark.parametrize("name", ["f11_localization", "j14_peptide_table", "w4_first_sample", "i3_condition_median", "i5_knn_samples"])
 def test_queries_on_dealt_line_items_give_the_same(spark, monkeypatch, name):
     rows = lambda df: sorted((tuple(x) for x in df.collect()), key=str)
     want = rows(queries.QUERIES[name](spark, SF))
