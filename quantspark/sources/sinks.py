@@ -35,8 +35,9 @@ def annotated_table(cells: DataFrame, features: DataFrame, key: str, samples: li
     """Peptides or precursors x samples, with what is known of the protein that their key names before the first bar.
 
     A site's feature is itself "protein|site"; there the protein's own row is missed and the feature's is taken.
+    One aggregation makes all columns: a pivot takes two, whose tables a task holds at once.
     """
-    wide = cells.groupBy("INDEX", key).pivot("Sample", samples).agg(F.first(value))
+    wide = cells.groupBy("INDEX", key).agg(*(F.max(F.when(F.col("Sample") == s, F.col(value))).alias(s) for s in samples))
     return wide.withColumn("PROTEIN", first_part(F.col(key))).join(features, "INDEX", "left")
 
 
