@@ -222,3 +222,34 @@ def test_conditions_meet_their_cells_in_one_row(spark):
         b = bounds[q.INDEX, "A" if q.Sample < "s3" else "B"]
         assert (b.n, b.center, b.lower, b.upper) == (len(own), *(pytest.approx(np.quantile(own, p), rel=1e-12) for p in (0.5, 0.25, 0.75)))
         assert b.lower <= q.v <= b.upper
+
+
+def test_first_sample_needs_no_grid_and_no_windows(spark, monkeypatch):
+    """One reader, which leaves unknown cells out: no cell is persisted, gathered or completed, each is sorted at most once."""
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 400)
+    plan = physical(queries.QUERIES["w4_first_sample"](spark, SF))
+    assert "InMemoryRelation" not in plan and "collect_list" not in plan and "Window [min_by" not in plan
+    assert plan.count("hashpartitioning(INDEX") == 1 and plan.count("Sort [INDEX") == 1
+
+
+def test_first_values_and_references_agree(spark):
+    v, cells = spread_cells(spark, 40, 6)
+    more = spark.createDataFrame([("none", "s0", None), ("f0000", "s9", 5.0), (None, "s1", 7.0), (None, "s0", None)], "INDEX string, Sample string, v double")
+    samples = spark.createDataFrame([(f"s{j}", "AB"[j % 2]) for j in range(6)], "Sample string, CONDITION string")
+    cells = by_feature(cells.unionByName(more))
+    got = {(q.INDEX, q.CONDITION): q.ref for q in normalize.first_values(cells, samples).collect()}
+    known = ~np.isnan(v)
+    want = {(f"f{i:04d}", "AB"[c]): next(v[i, j] for j in range(c, 6, 2) if known[i, j]) for i in range(40) for c in (0, 1) if known[i, c::2].any()}
+    assert got == want | {("f0000", None): 5.0, (None, "B"): 7.0}
+    at = normalize.reference_values(cells, samples, "local")
+    plan = physical(at)
+    assert plan.count("Sort [") == 1 and plan.count("hashpartitioning") == 1 and at.columns == ["Sample", "INDEX", "v", "ref"]
+    rows = at.collect()
+    assert len(rows) == 40 * 6 + 4
+    for q in rows:
+        if q.INDEX and q.INDEX != "none" and q.Sample != "s9":
+            i, c = int(q.INDEX[1:]), int(q.Sample[1:]) % 2
+            mean = np.mean([*v[i, known[i]], *([5.0] if i == 0 else [])])
+            assert q.ref == (v[i, c] if known[i, c] else pytest.approx(mean, rel=1e-12)), q
+        else:
+            assert q.ref == {"none": None, "f0000": 5.0, None: 7.0}[q.INDEX]
