@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantspark.operators import covariate, differential, embed, impute, neighbours, normalize, products, quantiles
+from quantspark.operators import covariate, differential, embed, impute, local_fits, neighbours, normalize, products, quantiles
 
 
 def frame(spark, groups):
@@ -216,3 +216,17 @@ def test_store_is_sorted_and_opens_again(spark, tmp_path):
     spark.createDataFrame([], "name string").write.mode("overwrite").json(f"{folder}/manifest")
     with pytest.raises(ValueError, match="finished store"):
         Results.open(spark, folder)
+
+
+@pytest.mark.parametrize("span", [0.9, 0.2])
+def test_loess_of_large_samples_is_the_fit_on_all_points(spark, monkeypatch, span):
+    """A sample's size decides where it is fitted, not what: blocks give what one task gives, with ties, a tail and few distinct values too."""
+    monkeypatch.setattr(local_fits, "BLOCK", 40)
+    r = np.random.default_rng(8)
+    v = np.stack([r.normal(20, 2, 500), np.round(r.normal(20, 2, 500)), 20 - r.exponential(1, 500) ** 2, r.integers(0, 2, 500) * 3.0], 1)
+    v[r.random(v.shape) < 0.1] = np.nan
+    _, c = cells(spark, v)
+    s = spark.createDataFrame([(f"s{j:02d}", "A") for j in range(4)], "Sample string, CONDITION string")
+    one, blocks = ({(x.INDEX, x.Sample): x.v for x in normalize.loess(c, s, span=span, exact=n).collect()} for n in (500, 100))
+    assert len(one) == 2000 and one.keys() == blocks.keys()
+    assert all((one[k] is None) == (blocks[k] is None) and (one[k] is None or abs(one[k] - blocks[k]) < 1e-8) for k in one)
