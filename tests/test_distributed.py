@@ -230,3 +230,11 @@ def test_loess_of_large_samples_is_the_fit_on_all_points(spark, monkeypatch, spa
     one, blocks = ({(x.INDEX, x.Sample): x.v for x in normalize.loess(c, s, span=span, exact=n).collect()} for n in (500, 100))
     assert len(one) == 2000 and one.keys() == blocks.keys()
     assert all((one[k] is None) == (blocks[k] is None) and (one[k] is None or abs(one[k] - blocks[k]) < 1e-8) for k in one)
+
+
+def test_search_moves_no_candidates(spark, monkeypatch):
+    """What a block finds is done: no pair of blocks and no candidate is shuffled, and k rows a gap are all that there is."""
+    _, c = cells(spark, np.random.default_rng(4).normal(0, 1, (90, 6)), 0.2)
+    found, _ = neighbours.feature_donors(c, 3, neighbours.EUCLIDEAN, True, block=15)
+    assert "Exchange" not in found._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert found.count() == 3 * c.filter("v IS NULL").count()
