@@ -238,3 +238,20 @@ def test_search_moves_no_candidates(spark, monkeypatch):
     found, _ = neighbours.feature_donors(c, 3, neighbours.EUCLIDEAN, True, block=15)
     assert "Exchange" not in found._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert found.count() == 3 * c.filter("v IS NULL").count()
+
+
+@pytest.mark.parametrize("fill", [impute.knn_features, impute.knn_correlated])
+def test_fills_are_a_row_a_feature(spark, monkeypatch, fill):
+    _, c = cells(spark, np.random.default_rng(4).normal(0, 1, (90, 6)), 0.2)
+    rows, store = {}, neighbours.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", counted)
+    monkeypatch.setattr(impute, "stored", counted)
+    out = fill(c, 3)
+    assert out.filter("v IS NULL").count() == 0 and out.filter("imputed").count() == c.filter("v IS NULL").count()
+    assert max(rows.values()) <= 2 * 90  # features, and a mark a block
