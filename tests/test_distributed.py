@@ -255,3 +255,37 @@ def test_fills_are_a_row_a_feature(spark, monkeypatch, fill):
     out = fill(c, 3)
     assert out.filter("v IS NULL").count() == 0 and out.filter("imputed").count() == c.filter("v IS NULL").count()
     assert max(rows.values()) <= 2 * 90  # features, and a mark a block
+
+
+def test_q_values_are_found_where_p_values_lie(spark, monkeypatch):
+    """Files of five p-values give what a sort of each code gives, with ties, zeros, ones and nulls."""
+    monkeypatch.setattr(differential, "PART", 5)
+    r = np.random.default_rng(2)
+    p = {0: r.random(40), 1: np.round(r.random(40), 1), 2: np.array([0.0, 0.0, 1e-300, 0.3, 1.0, 1.0]), 3: np.array([0.2])}
+    rows = [(i * 4 + c, float(x)) for c, of in p.items() for i, x in enumerate(of)] + [(1_000, None)]
+    got = {x.key: x.q for x in differential.bh_values(spark.createDataFrame(rows, "key long, p double").repartition(3), 4, len(rows)).collect()}
+    for c, of in p.items():
+        share = of * len(of) / np.array([(of <= x).sum() for x in of])
+        for i, x in enumerate(of):
+            assert (i * 4 + c in got) == (0 < x < 1) and (not 0 < x < 1 or got[i * 4 + c] == pytest.approx(min(1.0, share[of >= x].min()), rel=1e-12))
+
+
+def test_three_fits_store_a_row_a_feature(spark, monkeypatch):
+    """Fits and contrasts are neither written nor sorted: of them p-values alone move."""
+    r = np.random.default_rng(7)
+    _, c = cells(spark, r.normal(20, 2, (60, 6)))
+    fanned = spark.createDataFrame([(f"f{i:03d}", f"s{j:02d}", float(r.normal()), 1.0) for i in range(60) for j in range(6)], "INDEX string, Sample string, c double, raw_covariate double")
+    s = spark.createDataFrame([(f"s{j:02d}", "ABC"[j % 3]) for j in range(6)], "Sample string, CONDITION string")
+    at = covariate.with_imputed(c, fanned)
+    assert at.count() == 360
+    rows, store = {}, covariate.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(covariate, "stored", counted)
+    out, _ = covariate.covariate_differential(at, s, differential.contrast_table(s), moderate=False)
+    assert rows == {"moments": 60} and out.count() == 60 * 3
+    assert "Window" not in out._jdf.queryExecution().toString().split("Physical Plan")[-1]
